@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import near_dedup, packing, quality_rules
+from . import decontamination, line_dedup, near_dedup, packing, quality_rules
 from .common import read
 
 #: Where the public tokenizer files lie; a parameter of the queries that tokenize.
@@ -55,11 +56,37 @@ def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(read(spark, sf_dir, "documents"), near_dedup.Settings(shingle_words=2))
 
 
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = decontamination.build_index(read(spark, sf_dir, "documents"))
+    return decontamination.digest(decontamination.search(index, read(spark, sf_dir, "benchmark"), slop=4))
+
+
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = line_dedup.cleaned(read(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_lines", "n_removed", F.md5(F.coalesce("text", F.lit(""))).alias("text_md5"))
+
+
+OP2_SQL = r"""
+with l as (select doc_id, text, source, unnest(string_split(text, chr(10))) as line, generate_subscripts(string_split(text, chr(10)), 1) as i
+           from documents where text is not null),
+k as (select doc_id, text, source, line, i, trim(line, ' ' || chr(9) || chr(11) || chr(12) || chr(13)) as k from l),
+bad as (select k, min((doc_id, i)) as first from k where k <> '' group by k having count(distinct coalesce(source, '')) >= 8),
+m as (select k.*, bad.k is not null and (doc_id, i) <> bad.first as gone from k left join bad on bad.k = k.k),
+r as (select doc_id, cast(count(*) as bigint) as n_lines, cast(count(*) filter (gone) as bigint) as n_removed,
+             coalesce(string_agg(line, chr(10) order by i) filter (not gone), '') as left_text from m group by doc_id)
+select d.doc_id, coalesce(n_lines, 0) as n_lines, coalesce(n_removed, 0) as n_removed, md5(coalesce(left_text, '')) as text_md5
+from documents d left join r on r.doc_id = d.doc_id
+"""
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_line_dedup": op2_line_dedup,
     "op5_quality_rules": op5_quality_rules,
     "op6_packing": op6_packing,
+    "op7_decontamination": op7_decontamination,
     "op8_near_dedup": op8_near_dedup,
 }
 ORACLES: dict[str, str] = {
+    "op2_line_dedup": OP2_SQL,
     "op5_quality_rules": OP5_SQL,
 }
