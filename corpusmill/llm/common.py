@@ -8,6 +8,8 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from corpusmill.plans.runtime import ship_code
+
 ASCII_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 ASCII_LOWER = "abcdefghijklmnopqrstuvwxyz"
 #: bytes.translate table that lower-cases A-Z and leaves every other byte as it is.
@@ -52,5 +54,11 @@ def ascii_lower(col: Column) -> Column:
     return F.translate(col, ASCII_UPPER, ASCII_LOWER)
 
 
+def map_arrow(df: DataFrame, function, schema) -> DataFrame:
+    """mapInArrow, with this package on the executors."""
+    ship_code(df.sparkSession)
+    return df.mapInArrow(function, schema)
+
+
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import map_arrow, written
 
 #: Bytes of words stay (a-z, 0-9, all beyond ASCII), A-Z are lower-cased, all others become a space.
 WORD_TABLE = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b > 127 else 32 for b in range(256))
@@ -93,7 +93,7 @@ def build_index(docs: DataFrame, shard_tokens: int = 1 << 20) -> DataFrame:
         if ids:
             yield shard()
 
-    return written(docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(shards, INDEX_SCHEMA), "index")
+    return written(map_arrow(docs.select(F.col("doc_id").cast("long"), "text"), shards, INDEX_SCHEMA), "index")
 
 
 @dataclass
@@ -208,7 +208,7 @@ def search(index: DataFrame, benchmark: DataFrame, width: int = 10, slop: int |
                     cols = list(zip(*search_shard(row, sent.value, slop)))
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], names=[x.split()[0] for x in FOUND_SCHEMA.split(", ")])
 
-        part = index.mapInArrow(searched, FOUND_SCHEMA)
+        part = map_arrow(index, searched, FOUND_SCHEMA)
         found = part if found is None else found.union(part)
     if n_blocks > 1:  # the same document's matches of all blocks
         found = found.groupBy("doc_id", "n_words", "shard", "place").agg(*(F.flatten(F.collect_list(c)).alias(c) for c in ("starts", "stops", "items", "near_items")))
@@ -235,4 +235,4 @@ def digest(found: DataFrame) -> DataFrame:
             long = pa.int64()
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("n_words"), pa.array(n_hit, long), pa.array(n_items, long), pa.array(shas), pa.array([n > 0 for n in n_hit]), pa.array(near, long)], names=["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated", "n_near_items"])
 
-    return found.mapInArrow(digested, "doc_id bigint, n_words bigint, n_hit bigint, n_items bigint, items_sha256 string, contaminated boolean, n_near_items bigint")
+    return map_arrow(found, digested, "doc_id bigint, n_words bigint, n_hit bigint, n_items bigint, items_sha256 string, contaminated boolean, n_near_items bigint")

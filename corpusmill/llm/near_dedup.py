@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOWER_TABLE, written
+from .common import LOWER_TABLE, map_arrow, written
 from .components import components
 
 
@@ -101,7 +101,7 @@ def signatures(docs: DataFrame, s: Settings) -> DataFrame:
                 sigs.append((low >> np.uint64(32)).astype(np.uint32).view(np.int32))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()), pa.array(sigs, pa.list_(pa.int32()))], names=["doc_id", "n_shingles", "set_key", "sig"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(signed, "doc_id bigint, n_shingles bigint, set_key binary, sig array<int>")
+    return map_arrow(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), signed, "doc_id bigint, n_shingles bigint, set_key binary, sig array<int>")
 
 
 def collisions(a: Column, b: Column) -> Column:
@@ -164,7 +164,7 @@ def confirmed(pairs: DataFrame, docs: DataFrame, s: Settings) -> DataFrame:
     named = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
     texts = docs.join(named, docs["doc_id"] == named["node"]).select("node", "text")
     left = pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("ta")), "a")
-    return left.join(texts.select(F.col("node").alias("b"), F.col("text").alias("tb")), "b").select("a", "b", "ta", "tb").mapInArrow(exact, "a bigint, b bigint")
+    return map_arrow(left.join(texts.select(F.col("node").alias("b"), F.col("text").alias("tb")), "b").select("a", "b", "ta", "tb"), exact, "a bigint, b bigint")
 
 
 def near_duplicates(docs: DataFrame, s: Settings = Settings()) -> DataFrame:

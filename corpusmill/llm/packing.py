@@ -27,6 +27,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import map_arrow
+
 SCHEMA = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, sequence_id bigint, offset bigint"
 #: A word of Latin letters (all in composed form, with one-letter lower cases), then ASCII punctuation.
 PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-/:-@\[-`{-~]*)")
@@ -177,4 +179,4 @@ def pack(docs: DataFrame, tokenizer_path: str, width: int = 4096, end_id: int =
         if waiting:
             yield flush()
 
-    return docs.select(F.col("doc_id").cast("long"), F.coalesce(F.col("text"), F.lit(""))).mapInArrow(packed, SCHEMA)
+    return map_arrow(docs.select(F.col("doc_id").cast("long"), F.coalesce(F.col("text"), F.lit(""))), packed, SCHEMA)

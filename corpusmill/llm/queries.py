@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, line_dedup, near_dedup, packing, quality_rules
+from . import decontamination, language_id, line_dedup, lm_scoring, near_dedup, packing, pii, quality_rules
 from .common import read
 
 #: Where the public tokenizer files lie; a parameter of the queries that tokenize.
@@ -79,12 +79,34 @@ from documents d left join r on r.doc_id = d.doc_id
 """
 
 
+def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find(read(spark, sf_dir, "documents"))
+    counts = (F.size(F.filter("base", lambda x: x["k"] == 0)), F.size(F.filter("base", lambda x: x["k"] == 1)), F.size(F.filter("base", lambda x: x["k"] == 2)), F.size(F.filter("base", lambda x: x["k"] == 3)))
+    named = (c.cast("long").alias(f"n_{kind}") for c, kind in zip(counts, pii.KINDS))
+    return found.select("doc_id", *named, F.sha2(pii.joined(F.col("base")), 256).alias("base_sha256"), pii.joined(F.col("spans")).alias("spans"))
+
+
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fold = F.coalesce(F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(4)) == 2, F.lit(False))
+    docs = read(spark, sf_dir, "documents").withColumn("held_out", fold)
+    model = language_id.learn(docs.where("not held_out"))
+    return language_id.predict(docs, model, keep=("held_out",))
+
+
+def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, target = read(spark, sf_dir, "documents"), read(spark, sf_dir, "conversations")
+    return lm_scoring.score(docs, lm_scoring.learn(target, docs))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_pii": op1_pii,
     "op2_line_dedup": op2_line_dedup,
     "op5_quality_rules": op5_quality_rules,
     "op6_packing": op6_packing,
     "op7_decontamination": op7_decontamination,
     "op8_near_dedup": op8_near_dedup,
+    "op9_lm_scoring": op9_lm_scoring,
+    "op10_language_id": op10_language_id,
 }
 ORACLES: dict[str, str] = {
     "op2_line_dedup": OP2_SQL,
