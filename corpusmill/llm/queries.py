@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, language_id, line_dedup, lm_scoring, near_dedup, packing, pii, quality_rules
+from . import decontamination, language_id, license_scan, line_dedup, lm_scoring, near_dedup, packing, pii, quality_rules, revisits
 from .common import read
 
 #: Where the public tokenizer files lie; a parameter of the queries that tokenize.
@@ -98,9 +98,42 @@ def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_scoring.score(docs, lm_scoring.learn(target, docs))
 
 
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(read(spark, sf_dir, "documents"))
+
+
+def op4_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = revisits.resolve(revisits.records_of_pages(read(spark, sf_dir, "pages")), bucket=10_000)
+    shown = F.array_join(F.array_sort(F.transform(F.map_entries("headers"), lambda h: F.concat(h["key"], F.lit("="), h["value"]))), ";")
+    return found.select("record_id", "url_key", "ts", "outcome", "refers_to", "refers_ts", "digest", "length", shown.alias("headers"))
+
+
+OP4_SQL = r"""
+with base as (select page_id, url, md5(coalesce(html, '')) as digest, cast(length(coalesce(html, '')) as bigint) as length from pages),
+k as (select *, regexp_replace(regexp_replace(url, '#.*$', ''), '^[A-Za-z][A-Za-z0-9+.-]*://', '') as bare from base),
+c as (select *, regexp_replace(lower(regexp_extract(bare, '^([^/?]*)', 1)), ':(80|443)$', '') as host,
+             regexp_replace(regexp_extract(bare, '^[^/?]*([^?]*)', 1), '/+$', '') as path,
+             array_to_string(list_sort(list_filter(string_split(regexp_extract(bare, '\?(.*)$', 1), '&'),
+               lambda q: q <> '' and not regexp_matches(q, '^(utm_[a-z]+|ref|fbclid|gclid|sessionid)(=|$)'))), '&') as query from k),
+f as (select page_id, host || path || case when query = '' then '' else '?' || query end as url_key, digest, length,
+             '"' || digest[1:16] || '"' as etag from c),
+r as (select 'a' || page_id as record_id, url_key, 10 * page_id + 5 as ts, etag, 'a' as tag from f
+      union all select 'b' || page_id, url_key, 10 * page_id - 5, etag, 'b' from f),
+j as (select r.*, max(h.page_id) as p from r left join f h on h.url_key = r.url_key and 10 * h.page_id < r.ts group by all),
+m as (select j.*, f.etag as e, f.digest, f.length, j.etag = f.etag as good from j left join f on f.page_id = j.p)
+select record_id, url_key, cast(ts as bigint) as ts, case when p is null then 'missing' when good then 'resolved' else 'mismatch' end as outcome,
+       case when good then 'f' || p end as refers_to, case when good then cast(10 * p as bigint) end as refers_ts,
+       case when good then digest end as digest, case when good then length end as length,
+       case when good then 'content-length=' || length || ';content-type=text/html;etag=' || etag || ';server=f;x-again=' || tag || ';x-cache=hit' end as headers
+from m
+"""
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii": op1_pii,
     "op2_line_dedup": op2_line_dedup,
+    "op3_license_scan": op3_license_scan,
+    "op4_warc_revisits": op4_warc_revisits,
     "op5_quality_rules": op5_quality_rules,
     "op6_packing": op6_packing,
     "op7_decontamination": op7_decontamination,
@@ -110,5 +143,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 ORACLES: dict[str, str] = {
     "op2_line_dedup": OP2_SQL,
+    "op3_license_scan": license_scan.oracle(),
+    "op4_warc_revisits": OP4_SQL,
     "op5_quality_rules": OP5_SQL,
 }
