@@ -5,12 +5,18 @@
 2. A class is posted under its coordinate-value pairs. Pairs are ranked by how many classes hold them, and by the prefix
    principle a class needs to be posted only under its ``coordinates - matches + 1`` rarest: two signatures that agree in
    ``matches`` coordinates share one of those. Pairs that a single class holds have nobody to meet and are not shipped.
-3. Lists are merged in two passes. The first joins each class with its list's smallest member and keeps the one with most
-   collisions: rows grow with the postings, never with a list's square. Agreement in at least ``matches`` coordinates
-   makes a candidate; candidates are confirmed on the full sets and merged into components. The second pass skips what
-   the first has merged: only members of different components meet, again above the match threshold, and are confirmed.
-   So every candidate that could join two components is looked at, while a large group of copies costs one row per copy.
-4. Components of the confirmed links.
+3. Merging a list starts at its hub, the member whose coordinate values most classes hold (an original stands before its
+   altered copies). Every member meets the hub of each of its lists and keeps the one with most collisions, if they are
+   ``matches`` or more: rows grow with the postings, never with a list's square. These links form a forest; its trees are
+   families, and its links that the full sets confirm make the first components within them.
+4. Members of a family that are not in its main component meet the whole family in blocks of bounded size. Inside a
+   block, pairs that are connected already are skipped, the others above the match threshold are confirmed on the full
+   sets, most collisions first, and only links that join two components leave the block.
+5. Members of one list in different families that collide often enough are confirmed pair by pair.
+6. Components of all confirmed links.
+
+So every pair above the match threshold is either connected or confirmed on its full sets, while the rows that move grow
+with the postings and the links, not with the pairs.
 
 A pair at Jaccard similarity 0.8 agrees in fewer than 18 of 40 coordinates with odds of about 1e-7.
 
@@ -29,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOWER_TABLE, map_arrow, written
+from .common import LOWER_TABLE, map_arrow, ship_code, written
 from .components import components
 
 
@@ -109,38 +115,123 @@ def collisions(a: Column, b: Column) -> Column:
 
 
 def postings(classes: DataFrame, s: Settings) -> DataFrame:
-    """(coordinate, value, rep, n, sig) under each class's rarest coordinate-value pairs that another class holds too."""
+    """(coordinate, value, rep, n, sig, score) under each class's rarest coordinate-value pairs that another class holds too. score: how many hold its values, over all coordinates."""
     pairs = classes.select("rep", F.posexplode("sig").alias("coordinate", "value"))
     shared = pairs.groupBy("coordinate", "value").agg(F.count("*").alias("held")).where("held > 1")
     ranked = (
         pairs.join(shared, ["coordinate", "value"])
         .groupBy("rep")
-        .agg(F.sort_array(F.collect_list(F.struct("held", "coordinate", "value"))).alias("p"))
+        .agg(F.sort_array(F.collect_list(F.struct("held", "coordinate", "value"))).alias("p"), F.sum("held").alias("score"))
         # pairs that nobody else holds are the rarest of all and take their part of the prefix
-        .select("rep", F.slice("p", 1, F.greatest(F.lit(0), F.size("p") - (s.matches - 1))).alias("p"))
+        .select("rep", "score", F.slice("p", 1, F.greatest(F.lit(0), F.size("p") - (s.matches - 1))).alias("p"))
         .where(F.size("p") > 0)
     )
-    return ranked.join(classes, "rep").select("rep", "n", "sig", F.explode("p").alias("p")).select("p.coordinate", "p.value", "rep", "n", "sig")
+    return ranked.join(classes, "rep").select("rep", "n", "sig", "score", F.explode("p").alias("p")).select("p.coordinate", "p.value", "rep", "n", "sig", "score")
 
 
 def _similar_size(a: Column, b: Column, s: Settings) -> Column:
     return F.least(a, b) * 100 >= F.greatest(a, b) * s.percent
 
 
-def first_pass(posted: DataFrame, s: Settings) -> DataFrame:
-    """(a, b): each class and the list head with which it collides most."""
-    heads = posted.groupBy("coordinate", "value").agg(F.min(F.struct("rep", "n", "sig")).alias("head"))
-    met = posted.join(heads, ["coordinate", "value"]).where(F.col("head.rep") < F.col("rep")).select("rep", F.col("head.rep").alias("b"), collisions(F.col("sig"), F.col("head.sig")).alias("c"), _similar_size(F.col("n"), F.col("head.n"), s).alias("sized"))
-    return met.where((F.col("c") >= s.matches) & F.col("sized")).groupBy(F.col("rep").alias("a")).agg(F.max_by("b", F.struct("c", -F.col("b"))).alias("b"))
-
-
-def second_pass(posted: DataFrame, parts: DataFrame, s: Settings) -> DataFrame:
-    """(a, b): members of one list, in different components so far, that collide often enough."""
-    x = posted.join(parts.select(F.col("node").alias("rep"), "component"), "rep", "left").withColumn("part", F.coalesce("component", "rep")).drop("component")
-    mixed_lists = x.groupBy("coordinate", "value").agg(F.min("part").alias("p"), F.max("part").alias("q")).where("p <> q").select("coordinate", "value")
+def hub_links(posted: DataFrame, s: Settings) -> DataFrame:
+    """(a, b): each class and the hub with which it collides most. Hubs have the larger (score, rep), so the links form a forest."""
+    hubs = posted.groupBy("coordinate", "value").agg(F.max(F.struct("score", "rep", "n", "sig")).alias("hub"))
+    met = posted.join(hubs, ["coordinate", "value"]).where(F.col("hub.rep") != F.col("rep"))
+    met = met.select("rep", "hub.rep", "hub.score", collisions(F.col("sig"), F.col("hub.sig")).alias("c"), _similar_size(F.col("n"), F.col("hub.n"), s).alias("sized")).toDF("a", "b", "score", "c", "sized")
+    return met.where((F.col("c") >= s.matches) & F.col("sized")).groupBy("a").agg(F.max_by("b", F.struct("c", "score", "b")).alias("b"))
+
+
+def forest(links: DataFrame, sure: DataFrame) -> DataFrame:
+    """(node, family, part): the root of each node over all links, and over the sure ones. Pointer jumping: rounds grow with the logarithm of the depth."""
+    up = links.join(sure.select("a", F.col("b").alias("sure")), "a", "left").select(F.col("a").alias("node"), F.col("b").alias("family"), F.coalesce("sure", "a").alias("part"))
+    tops = links.select(F.col("b").alias("node")).distinct().join(links.select(F.col("a").alias("node")), "node", "left_anti")
+    now = written(up.unionByName(tops.select("node", F.col("node").alias("family"), F.col("node").alias("part"))), "forest")
+    while True:
+        f = now.select(F.col("node").alias("_f"), F.col("family").alias("f2"))
+        p = now.select(F.col("node").alias("_p"), F.col("part").alias("p2"))
+        new = written(now.join(f, F.col("family") == F.col("_f")).join(p, F.col("part") == F.col("_p")).select("node", F.col("f2").alias("family"), F.col("p2").alias("part"), ((F.col("f2") != F.col("family")) | (F.col("p2") != F.col("part"))).alias("moved")), "forest")
+        now = new.drop("moved")
+        if not new.where("moved").limit(1).count():
+            return now
+
+
+#: Shingles of one side of a block.
+BLOCK = 300_000
+
+
+def within_families(trees: DataFrame, classes: DataFrame, docs: DataFrame, s: Settings) -> DataFrame:
+    """(a, b): confirmed links that join parts of one family."""
+    sized = trees.join(classes.select(F.col("rep").alias("node"), "n", "sig"), "node")
+    parts = sized.groupBy("family", "part").agg(F.count("*").alias("held"), F.sum("n").alias("weight"))
+    whole = parts.groupBy("family").agg(F.max_by("part", F.struct("held", "part")).alias("main"), F.sum("weight").alias("weight"), F.max_by("weight", F.struct("held", "part")).alias("main_weight"), F.count("*").alias("parts")).where("parts > 1")
+    blocks = whole.select("family", "main", F.ceil(F.col("main_weight") / BLOCK).cast("int").alias("m"), F.ceil((F.col("weight") - F.col("main_weight")) / BLOCK).cast("int").alias("r"))
+    x = sized.join(blocks, "family").join(docs, F.col("node") == F.col("doc_id")).withColumn("main", F.col("part") == F.col("main"))
+    own = F.when(F.col("main"), F.pmod(F.xxhash64("node"), F.col("m"))).otherwise(F.pmod(F.xxhash64("node"), F.col("r"))).cast("int")
+    x = x.withColumn("own", own)
+    every = lambda n: F.sequence(F.lit(0), n - 1)
+    meet = lambda i, j, inner, first: F.struct(i.alias("i"), j.alias("j"), F.lit(inner).alias("inner"), first.alias("first"))
+    with_rest = F.transform(every(F.col("r")), lambda k: meet(F.least(k, F.col("own")), F.greatest(k, F.col("own")), True, F.col("own") <= k))
+    with_main = F.transform(every(F.col("m")), lambda k: meet(F.col("own"), k, False, F.lit(True)))
+    of_main = F.transform(every(F.col("r")), lambda k: meet(k, F.col("own"), False, F.lit(False)))
+    dealt = x.select("family", "node", "part", "sig", "text", F.explode(F.when(F.col("main"), of_main).otherwise(F.concat(with_rest, with_main))).alias("x")).select("family", "x.i", "x.j", "x.inner", "x.first", "node", "part", "sig", "text")
+
+    def joined(table: pa.Table) -> pa.Table:
+        return _block_links(table, s)
+
+    ship_code(dealt.sparkSession)
+    return dealt.groupBy("family", "i", "j", "inner").applyInArrow(joined, "a bigint, b bigint")
+
+
+def _block_links(table: pa.Table, s: Settings) -> pa.Table:
+    """Links between the two sides of a block (one side against itself where it has only one), none between parts that are connected already."""
+    shingles = Shingler(s.shingle_words)
+    order = np.argsort(table.column("node").to_numpy(), kind="stable")
+    nodes, roots = table.column("node").to_numpy()[order], table.column("part").to_numpy()[order].copy()
+    first = table.column("first").to_numpy()[order]
+    sig = np.stack(table.column("sig").to_pandas().to_numpy())[order]
+    texts = table.column("text").to_pylist()
+    sets = [shingles(texts[i]) for i in order]
+    sizes = np.array([len(x) for x in sets])
+    alone = bool(first.all())
+    ends = np.cumsum(sizes)
+    flat = np.concatenate(sets)
+    a, b = [], []
+    for i in np.flatnonzero(first):
+        other = (np.arange(len(nodes)) > i) if alone else ~first
+        open_ = np.flatnonzero(other & (roots != roots[i]) & (np.minimum(sizes, sizes[i]) * 100 >= s.percent * np.maximum(sizes, sizes[i])))
+        if not len(open_):
+            continue
+        agree = (sig[open_] == sig[i]).sum(axis=1)
+        open_ = open_[np.argsort(-agree, kind="stable")][: int((agree >= s.matches).sum())]
+        for lo in range(0, len(open_), 64):
+            some = open_[lo : lo + 64]
+            some = some[roots[some] != roots[i]]
+            for k in some[_linked(sets[i], flat, ends, sizes, some, s)] if len(some) else ():
+                if roots[k] != roots[i]:
+                    a.append(int(nodes[i]))
+                    b.append(int(nodes[k]))
+                    roots[roots == roots[k]] = roots[i]
+    return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+
+def _linked(one: np.ndarray, flat: np.ndarray, ends: np.ndarray, sizes: np.ndarray, some: np.ndarray, s: Settings) -> np.ndarray:
+    """Which of the sets numbered in some reach the similarity with one."""
+    owner = np.repeat(np.arange(len(some)), sizes[some])
+    at = np.arange(len(owner)) + np.repeat(ends[some] - sizes[some] - (np.cumsum(sizes[some]) - sizes[some]), sizes[some])
+    values = flat[at]
+    place = np.searchsorted(one, values)
+    place[place == len(one)] = 0
+    both = np.bincount(owner, weights=one[place] == values, minlength=len(some)).astype(np.int64)
+    return 100 * both >= s.percent * (len(one) + sizes[some] - both)
+
+
+def across_families(posted: DataFrame, trees: DataFrame, s: Settings) -> DataFrame:
+    """(a, b): members of one list in different families that collide often enough."""
+    x = posted.drop("score").join(trees.select(F.col("node").alias("rep"), "family"), "rep", "left").withColumn("family", F.coalesce("family", "rep"))
+    mixed_lists = x.groupBy("coordinate", "value").agg(F.min("family").alias("p"), F.max("family").alias("q")).where("p <> q").select("coordinate", "value")
     x = x.join(mixed_lists, ["coordinate", "value"])
-    y = x.select("coordinate", "value", *(F.col(c).alias(f"{c}_b") for c in ("rep", "n", "sig", "part")))
-    on = (x["coordinate"] == y["coordinate"]) & (x["value"] == y["value"]) & (F.col("rep_b") < F.col("rep")) & (F.col("part") != F.col("part_b")) & _similar_size(F.col("n"), F.col("n_b"), s) & (collisions(F.col("sig"), F.col("sig_b")) >= s.matches)
+    y = x.select("coordinate", "value", *(F.col(c).alias(f"{c}_b") for c in ("rep", "n", "sig", "family")))
+    on = (x["coordinate"] == y["coordinate"]) & (x["value"] == y["value"]) & (F.col("rep_b") < F.col("rep")) & (F.col("family") != F.col("family_b")) & _similar_size(F.col("n"), F.col("n_b"), s) & (collisions(F.col("sig"), F.col("sig_b")) >= s.matches)
     return x.join(y, on).select(F.col("rep").alias("a"), F.col("rep_b").alias("b")).distinct()
 
 
@@ -176,11 +267,18 @@ def near_duplicates(docs: DataFrame, s: Settings = Settings()) -> DataFrame:
         members = written(signatures(docs, s), "signatures")
     classes = written(members.where("n_shingles > 0").groupBy("set_key").agg(F.min(F.struct("doc_id", F.col("n_shingles").alias("n"), "sig")).alias("r")).select("set_key", F.col("r.doc_id").alias("rep"), "r.n", "r.sig"), "classes")
     posted = written(postings(classes, s), "postings")
-    links = written(confirmed(first_pass(posted, s), docs, s), "confirmed")
-    parts = components(links)
-    more = written(confirmed(written(second_pass(posted, parts, s), "candidates"), docs, s), "confirmed")
-    parts = components(links.union(more)).select("node", "component")
-    of_class = classes.select("set_key", "rep").join(parts, F.col("rep") == F.col("node"), "left").select("set_key", F.coalesce("component", "rep").alias("c"))
+    links = written(hub_links(posted, s), "hub-links")
+    trees = forest(links, written(confirmed(links, docs, s), "confirmed"))
+    inside = written(within_families(trees, classes, docs, s), "inside")
+    across = written(confirmed(written(across_families(posted, trees, s), "candidates"), docs, s), "confirmed")
+    # what is left joins parts: as many links as parts at most from inside, and the few from across
+    part = trees.select(F.col("node").alias("_n"), F.col("part").alias("_p"))
+    between = inside.union(across).join(part, F.col("a") == F.col("_n"), "left").select(F.coalesce("_p", "a").alias("a"), "b")
+    between = between.join(part, F.col("b") == F.col("_n"), "left").select("a", F.coalesce("_p", "b").alias("b"))
+    joined = components(between).select(F.col("node").alias("_j"), F.col("component").alias("_c"))
+    label = classes.select("set_key", "rep").join(part, F.col("rep") == F.col("_n"), "left").withColumn("part", F.coalesce("_p", "rep"))
+    label = written(label.join(joined, F.col("part") == F.col("_j"), "left").select("set_key", "rep", F.coalesce("_c", "part").alias("label")), "labels")
+    least = label.groupBy("label").agg(F.min("rep").alias("component_id"), F.count("*").alias("held")).where("held > 1").drop("held")
+    of_class = label.join(least, "label", "left").select("set_key", F.coalesce("component_id", "rep").alias("c"))
     out = members.join(of_class, "set_key", "left").select("doc_id", "n_shingles", F.coalesce("c", "doc_id").alias("component_id"))
     return out.withColumn("kept", F.col("doc_id") == F.col("component_id"))
-
