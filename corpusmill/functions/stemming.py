@@ -6,6 +6,7 @@ The stemmer follows the published Porter2 (English Snowball) description in its
 from __future__ import annotations
 
 import re
+from functools import lru_cache
 
 VOWELS = "aeiouy"
 # Fixed values of the published algorithm.
@@ -84,10 +85,20 @@ def stem(word: str) -> str:
     return w.lower()
 
 
+@lru_cache(maxsize=200_000)
+def stems(word: str) -> tuple[str, ...]:
+    """Stems of the words in a token."""
+    return tuple(stem(w) for w in re.findall(r"\w+", word.lower()))
+
+
+def key_of(parts) -> str | None:
+    """The key of the stems of several tokens; null where there is none."""
+    return " ".join(sorted((s for p in parts for s in p), key=str.encode)) or None
+
+
 def term_key(term: str | None) -> str | None:
     """Null where no word is left."""
-    words = re.findall(r"\w+", (term or "").lower())
-    return " ".join(sorted((stem(w) for w in words), key=str.encode)) or None
+    return key_of([stems(w) for w in (term or "").split()])
 
 
 TOKEN = re.compile(r"\w+(?:[-']\w+)*|[^\w\s]")
