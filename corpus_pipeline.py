@@ -23,14 +23,14 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates (five-word shingles, similarity 0.8)."""
     gone = near_dedup.near_duplicates(docs).where("not kept").select(F.col("doc_id").alias("_gone"))
-    return docs.join(gone, docs["doc_id"] == F.col("_gone"), "left_anti")
+    return docs.join(gone, docs["doc_id"] == gone["_gone"], "left_anti")
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no passage of a benchmark item."""
+    """Documents that hold no passage of a benchmark item. Rows that share a doc_id (or have none) go together."""
     found = decontamination.search(decontamination.build_index(docs), read(spark, sf_dir, "benchmark"))
     hit = found.where(F.size("starts") > 0).select(F.col("doc_id").alias("_hit"))
-    return docs.join(hit, docs["doc_id"] == F.col("_hit"), "left_anti")
+    return docs.join(hit, docs["doc_id"].eqNullSafe(hit["_hit"]), "left_anti")
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

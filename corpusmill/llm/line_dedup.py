@@ -67,23 +67,39 @@ def boilerplate(docs: DataFrame, s: Settings = Settings()) -> DataFrame:
     return often.join(exact.union(sure), ["h", "g"]).select("h", "g", "first", "n_sites")
 
 
-def cleaned(docs: DataFrame, s: Settings = Settings()) -> DataFrame:
-    """docs with text freed of boilerplate, and n_lines and n_removed (long)."""
+def _judged(docs: DataFrame, s: Settings) -> DataFrame:
+    """row (all columns of docs), text, left (the text without boilerplate), n_lines and n_removed."""
     bad = written(boilerplate(docs, s), "boilerplate")
     hits = occurrences(docs).join(bad, ["h", "g"]).where(~(F.col("d").eqNullSafe(F.col("first.d")) & (F.col("t") == F.col("first.t")) & (F.col("i") == F.col("first.i"))))
-    removed = hits.groupBy(F.col("d").alias("_d"), F.col("t").alias("_t")).agg(F.collect_set("i").alias("_removed"))
-    out = docs.join(removed, docs["doc_id"].eqNullSafe(F.col("_d")) & (F.xxhash64(docs["text"]) == F.col("_t")), "left")
-    lines = F.split("text", "\n")
-    left = F.array_join(F.filter(lines, lambda x, i: ~F.array_contains("_removed", i)), "\n")
+    removed = hits.groupBy("d", "t").agg(F.collect_set("i").alias("removed"))
+    rows = docs.select(F.struct(*(docs[c] for c in docs.columns)).alias("row"))
+    out = rows.join(removed, rows["row.doc_id"].eqNullSafe(removed["d"]) & (F.xxhash64(rows["row.text"]) == removed["t"]), "left")
+    lines = F.split("row.text", "\n")
+    left = F.array_join(F.filter(lines, lambda x, i: ~F.array_contains("removed", i)), "\n")
     return out.select(
-        *(F.when(F.col("_removed").isNull(), F.col("text")).otherwise(left).alias("text") if c == "text" else docs[c] for c in docs.columns),
+        "row",
+        F.when(F.col("removed").isNull(), F.col("row.text")).otherwise(left).alias("left"),
         F.coalesce(F.size(lines), F.lit(0)).cast("long").alias("n_lines"),
-        F.coalesce(F.size("_removed"), F.lit(0)).cast("long").alias("n_removed"),
+        F.coalesce(F.size("removed"), F.lit(0)).cast("long").alias("n_removed"),
     )
 
 
+def cleaned(docs: DataFrame, s: Settings = Settings()) -> DataFrame:
+    """docs with text freed of boilerplate, and n_lines and n_removed (long) in place of columns of these names."""
+    kept = [c for c in docs.columns if c not in ("n_lines", "n_removed")]
+    return _judged(docs, s).select(*(F.col("left").alias(c) if c == "text" else F.col(f"row.`{c}`") for c in kept), "n_lines", "n_removed")
+
+
 def filter_documents(docs: DataFrame, s: Settings = Settings()) -> DataFrame:
     """Documents with boilerplate removed and n_chars renewed; those of which nothing but white space is left go."""
-    out = cleaned(docs, s)
-    kept = out.where((F.col("n_removed") == 0) | (F.trim(F.translate("text", "\n" + TRIMMED, "")) != ""))
-    return kept.select(*(F.when(F.col("n_removed") > 0, F.length("text").cast(docs.schema[c].dataType)).otherwise(F.col(c)).alias(c) if c == "n_chars" else F.col(c) for c in docs.columns))
+    out = _judged(docs, s)
+    kept = out.where((F.col("n_removed") == 0) | (F.trim(F.translate("left", "\n" + TRIMMED, "")) != ""))
+
+    def column(c: str) -> Column:
+        if c == "text":
+            return F.col("left").alias(c)
+        if c == "n_chars":
+            return F.when(F.col("n_removed") > 0, F.length("left").cast(docs.schema[c].dataType)).otherwise(F.col("row.n_chars")).alias(c)
+        return F.col(f"row.`{c}`")
+
+    return kept.select(*(column(c) for c in docs.columns))
