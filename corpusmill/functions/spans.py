@@ -133,14 +133,11 @@ def secondary_labels(mention: Column) -> Column:
     def of(w: Column) -> Column:
         last = F.element_at(w, -1)
         by_end = F.lit(None).cast("string")
-        for one, many, label in reversed(SUFFIXES):
-            if many:
-                by_end = F.when(last.endswith(many), label).otherwise(by_end)
-            by_end = F.when(last.endswith(one), label).otherwise(by_end)
+        for suffix, label in reversed(SUFFIXES):
+            by_end = F.when(last.endswith(suffix), label).otherwise(by_end)
         ending = F.when((F.length(last) >= SUFFIX_LEAST) & ~last.isin(*SUFFIX_STOP), by_end)
-        table = {x: label for one, many, label in TAILS for x in (one, many)}
         two = F.array_join(F.slice(w, F.greatest(F.size(w) - 1, F.lit(1)), 2), " ")
-        tail = F.create_map(*(F.lit(x) for kv in table.items() for x in kv))
+        tail = F.create_map(*(F.lit(x) for pair in TAILS for x in pair))
         found = F.array(ending, F.coalesce(F.try_element_at(tail, two), F.try_element_at(tail, last)))
         return F.when(F.size(w) == 0, F.array().cast("array<string>")).otherwise(F.array_distinct(F.filter(found, lambda x: x.isNotNull())))
 
