@@ -159,13 +159,13 @@ def forest(links: DataFrame, sure: DataFrame) -> DataFrame:
 BLOCK = 300_000
 
 
-def within_families(trees: DataFrame, classes: DataFrame, docs: DataFrame, s: Settings) -> DataFrame:
+def within_families(trees: DataFrame, classes: DataFrame, texts: DataFrame, s: Settings) -> DataFrame:
     """(a, b): confirmed links that join parts of one family."""
     sized = trees.join(classes.select(F.col("rep").alias("node"), "n", "sig"), "node")
     parts = sized.groupBy("family", "part").agg(F.count("*").alias("held"), F.sum("n").alias("weight"))
     whole = parts.groupBy("family").agg(F.max_by("part", F.struct("held", "part")).alias("main"), F.sum("weight").alias("weight"), F.max_by("weight", F.struct("held", "part")).alias("main_weight"), F.count("*").alias("parts")).where("parts > 1")
-    blocks = whole.select("family", "main", F.ceil(F.col("main_weight") / BLOCK).cast("int").alias("m"), F.ceil((F.col("weight") - F.col("main_weight")) / BLOCK).cast("int").alias("r"))
-    x = sized.join(blocks, "family").join(docs, F.col("node") == F.col("doc_id")).withColumn("main", F.col("part") == F.col("main"))
+    blocks = written(whole.select("family", "main", F.ceil(F.col("main_weight") / BLOCK).cast("int").alias("m"), F.ceil((F.col("weight") - F.col("main_weight")) / BLOCK).cast("int").alias("r")), "blocks")
+    x = sized.join(_small(blocks), "family").join(texts, "node").withColumn("main", F.col("part") == F.col("main"))
     own = F.when(F.col("main"), F.pmod(F.xxhash64("node"), F.col("m"))).otherwise(F.pmod(F.xxhash64("node"), F.col("r"))).cast("int")
     x = x.withColumn("own", own)
     every = lambda n: F.sequence(F.lit(0), n - 1)
@@ -235,7 +235,7 @@ def across_families(posted: DataFrame, trees: DataFrame, s: Settings) -> DataFra
     return x.join(y, on).select(F.col("rep").alias("a"), F.col("rep_b").alias("b")).distinct()
 
 
-def confirmed(pairs: DataFrame, docs: DataFrame, s: Settings) -> DataFrame:
+def confirmed(pairs: DataFrame, texts: DataFrame, s: Settings) -> DataFrame:
     """The pairs whose full shingle sets reach the similarity."""
 
     def exact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -252,12 +252,25 @@ def confirmed(pairs: DataFrame, docs: DataFrame, s: Settings) -> DataFrame:
             mask = pa.array(kept, pa.bool_())
             yield pa.RecordBatch.from_arrays([batch.column(0).filter(mask), batch.column(1).filter(mask)], names=["a", "b"])
 
-    named = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-    texts = docs.join(named, docs["doc_id"] == named["node"]).select("node", "text")
-    left = pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("ta")), "a")
+    left = texts.select(F.col("node").alias("a"), F.col("text").alias("ta")).join(_small(pairs), "a")
     return map_arrow(left.join(texts.select(F.col("node").alias("b"), F.col("text").alias("tb")), "b").select("a", "b", "ta", "tb"), exact, "a bigint, b bigint")
 
 
+#: Rows of a few ids (24 bytes at most) that a broadcast may hold.
+MOST_SENT = 1_000_000
+
+
+def _small(ids: DataFrame) -> DataFrame:
+    """A table of ids, marked for broadcast if its counted rows are few: then the texts that it meets stay where they are. Beyond that Spark shuffles both."""
+    return F.broadcast(ids) if ids.limit(MOST_SENT + 1).count() <= MOST_SENT else ids
+
+
+def texts_of(pairs: DataFrame, docs: DataFrame) -> DataFrame:
+    """(node, text) of all documents in pairs, written: few documents have a near duplicate, and their texts are read several times."""
+    named = written(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct(), "named")
+    return written(docs.join(_small(named), F.col("doc_id") == F.col("node")).select("node", "text"), "texts")
+
+
 def near_duplicates(docs: DataFrame, s: Settings = Settings()) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept), one row per document."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").alias("text")).where("doc_id is not null")
@@ -268,9 +281,11 @@ def near_duplicates(docs: DataFrame, s: Settings = Settings()) -> DataFrame:
     classes = written(members.where("n_shingles > 0").groupBy("set_key").agg(F.min(F.struct("doc_id", F.col("n_shingles").alias("n"), "sig")).alias("r")).select("set_key", F.col("r.doc_id").alias("rep"), "r.n", "r.sig"), "classes")
     posted = written(postings(classes, s), "postings")
     links = written(hub_links(posted, s), "hub-links")
-    trees = forest(links, written(confirmed(links, docs, s), "confirmed"))
-    inside = written(within_families(trees, classes, docs, s), "inside")
-    across = written(confirmed(written(across_families(posted, trees, s), "candidates"), docs, s), "confirmed")
+    texts = texts_of(links, docs)
+    trees = forest(links, written(confirmed(links, texts, s), "confirmed"))
+    inside = written(within_families(trees, classes, texts, s), "inside")
+    candidates = written(across_families(posted, trees, s), "candidates")
+    across = written(confirmed(candidates, texts_of(candidates, docs), s), "confirmed")
     # what is left joins parts: as many links as parts at most from inside, and the few from across
     part = trees.select(F.col("node").alias("_n"), F.col("part").alias("_p"))
     between = inside.union(across).join(part, F.col("a") == F.col("_n"), "left").select(F.coalesce("_p", "a").alias("a"), "b")
