@@ -169,7 +169,7 @@ def pack(docs: DataFrame, tokenizer_path: str, width: int = 4096, end_id: int =
         for batch in batches:
             ids_of, texts = batch.column(0).to_pylist(), batch.column(1)
             for lo in range(0, len(texts), 4000):
-                for doc, ids in zip(ids_of[lo : lo + 1000], words.encode(texts.slice(lo, 4000))):
+                for doc, ids in zip(ids_of[lo : lo + 4000], words.encode(texts.slice(lo, 4000)), strict=True):
                     ids = np.append(ids, np.uint32(end_id))
                     waiting.append((doc, ids))
                     held += len(ids)

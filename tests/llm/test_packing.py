@@ -42,3 +42,18 @@ def test_costs_are_balanced():
 def test_empty_table_and_repeated_rows(docs):
     assert P.pack(docs([]), tokenizer_path()).count() == 0
     assert P.pack(docs([(1, "a"), (1, "a"), (None, "b")]), tokenizer_path()).count() == 3
+
+
+def test_every_row_of_a_long_partition_is_packed(docs):
+    from tokenizers import Tokenizer
+
+    t = Tokenizer.from_file(tokenizer_path())
+    rows = [(i, f"doc {i} of many") for i in range(9500)]
+    got = P.pack(docs(rows).coalesce(1), tokenizer_path(), block_tokens=20_000).collect()
+    ids = {i: np.array([*t.encode(x, add_special_tokens=False).ids, 2], "<u4") for i, x in rows}
+    packed = {}
+    for r in sorted(got, key=lambda r: (r.doc_id, r.start)):
+        assert r.start == packed.get(r.doc_id, 0) and r.doc_tokens == len(ids[r.doc_id])
+        assert r.ids_crc32 == zlib.crc32(ids[r.doc_id][r.start : r.start + r.length].tobytes())
+        packed[r.doc_id] = r.start + r.length
+    assert packed == {i: len(x) for i, x in ids.items()}
