@@ -4,13 +4,16 @@ Both are word bigram models with one shared vocabulary, the same order and the s
 text they count. A document's score is the mean over its tokens of the background loss less the target loss, in bits: the
 higher, the more the document resembles the target.
 
-1. Word counts of both corpora over all texts. Words whose share, averaged over the two corpora, reaches ``word_share``
-   form the vocabulary; all others are one unknown word. Shares sum to one, so at most 1 / word_share words can reach it,
-   however large the corpora.
-2. Bigram counts of both corpora over all texts, in that vocabulary. Bigrams whose averaged share reaches ``bigram_share``
-   are kept as such (at most 1 / bigram_share, for the same reason); others back off.
+1. Word counts of both corpora over all texts; every counted word is in the vocabulary. With ``word_share`` above 0 only
+   words whose share, averaged over the two corpora, reaches it are; all others are one unknown word.
+2. Bigram counts of both corpora over all texts, in that vocabulary; every counted bigram is kept. With ``bigram_share``
+   above 0 only those whose averaged share reaches it are, others back off.
 3. P(w | v) = (c(v, w) + prior * P(w)) / (c(v) + prior), with P(w) = (c(w) + 1) / (n + words + 1): Dirichlet smoothing.
-   Both models have proven bounds, so they are broadcast, and every document is scored where it is read.
+
+The models grow with the corpora, so they are tables. Documents are scored in chunks of a bounded number of tokens: a chunk
+asks for each of its distinct n-grams once, the questions are joined with the counts by n-gram, and the answers go back to
+the chunk. An n-gram that was seen once, in the background, is the common case: its answer is left out, and what has no
+answer counts as that. N-grams are known by 64-bit hashes.
 
 Counts are combined within each task before they are shuffled; a frequent n-gram arrives once per task.
 
@@ -33,23 +36,27 @@ from .common import LOWER_TABLE, map_arrow, written
 
 @dataclass(frozen=True)
 class Settings:
-    word_share: float = 1e-5
-    bigram_share: float = 1e-6
+    #: Least averaged share of a word and of a bigram; 0 keeps all.
+    word_share: float = 0.0
+    bigram_share: float = 0.0
     prior: float = 50.0
     #: Distinct n-grams that a task combines before it passes them on.
     flush: int = 2_000_000
+    #: Tokens after which a chunk of scored documents ends.
+    chunk: int = 2_000_000
 
 
 @dataclass
 class Model:
-    #: Sorted word hashes; the code of a word is its place + 1, 0 is the unknown word.
-    words: np.ndarray
-    #: Counts of each code, and their sum, for target and background.
-    unigrams: tuple[np.ndarray, np.ndarray]
-    #: Sorted codes v * (len(words) + 1) + w of the kept bigrams, and their counts.
-    bigrams: np.ndarray
-    pairs: tuple[np.ndarray, np.ndarray]
-    prior: float
+    #: Sorted hashes of the vocabulary where word_share bounds it; None where every word counts.
+    known: np.ndarray | None
+    #: (k, t, b): hash of a word or a bigram, its counts in target and background.
+    words: DataFrame
+    bigrams: DataFrame
+    #: Sums of the word counts of target and background; size of the vocabulary.
+    totals: tuple[int, int]
+    size: int
+    settings: Settings
 
 
 class Words:
@@ -75,24 +82,31 @@ class Words:
         return np.concatenate(out) if out else np.empty(0, np.uint64), np.array(sizes, np.int64)
 
 
-def codes_of(hashes: np.ndarray, words: np.ndarray) -> np.ndarray:
-    if not len(words):
-        return np.zeros(len(hashes), np.int64)
-    at = np.searchsorted(words, hashes)
-    at[at == len(words)] = 0
-    return np.where(words[at] == hashes, at + 1, 0)
+def within(hashes: np.ndarray, known: np.ndarray | None) -> np.ndarray:
+    """Hashes in the vocabulary; 0, the unknown word, for all others."""
+    if known is None:
+        return hashes
+    if not len(known):
+        return np.zeros_like(hashes)
+    at = np.searchsorted(known, hashes)
+    at[at == len(known)] = 0
+    return np.where(known[at] == hashes, hashes, np.uint64(0))
 
 
-def bigrams_of(codes: np.ndarray, sizes: np.ndarray, width: int) -> np.ndarray:
-    """Codes of the bigrams within each text; a text's first word has no bigram."""
-    first = np.zeros(len(codes), bool)
+def followers(sizes: np.ndarray, n: int) -> np.ndarray:
+    """Whether each of n words has a word before it in its text."""
+    out = np.ones(n, bool)
     starts = np.cumsum(sizes) - sizes
-    first[starts[sizes > 0]] = True
-    return (codes[:-1] * width + codes[1:])[~first[1:]] if len(codes) else codes
+    out[starts[sizes > 0]] = False
+    return out
+
+
+def pair_hash(before: np.ndarray, word: np.ndarray) -> np.ndarray:
+    return before * np.uint64(0x9E3779B97F4A7C15) + word
 
 
 def _counted(texts: DataFrame, keys_of, flush: int) -> DataFrame:
-    """(k, n): the keys that keys_of gives for a list of texts, counted over all rows."""
+    """(k, n): the keys that keys_of gives for a list of texts, counted within tasks; a key may have several rows."""
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         find = keys_of()
@@ -116,87 +130,151 @@ def _counted(texts: DataFrame, keys_of, flush: int) -> DataFrame:
         if held:
             yield rows(*merged())
 
-    return map_arrow(texts.select("text"), counted, "k bigint, n bigint").groupBy("k").agg(F.sum("n").alias("n"))
+    return map_arrow(texts.select("text"), counted, "k bigint, n bigint")
+
+
+def _both(target: DataFrame, background: DataFrame) -> DataFrame:
+    """(k, t, b) of two tables (k, n), with one row for each key."""
+    none = F.lit(0).cast("long")
+    rows = target.select("k", F.col("n").alias("t"), none.alias("b")).unionAll(background.select("k", none.alias("t"), F.col("n").alias("b")))
+    return rows.groupBy("k").agg(F.sum("t").alias("t"), F.sum("b").alias("b"))
+
+
+def _sums(counts: DataFrame) -> tuple[int, int, int]:
+    return tuple(int(x or 0) for x in counts.agg(F.sum("t"), F.sum("b"), F.count("*")).first())
 
 
-def _shares(target: DataFrame, background: DataFrame, share: float) -> tuple[np.ndarray, np.ndarray, np.ndarray, int, int]:
-    """Keys whose averaged share reaches share, sorted, their counts in both tables, and the tables' sums."""
-    n_t, n_b = (int(x.agg(F.sum("n")).first()[0] or 0) for x in (target, background))
-    both = target.withColumnRenamed("n", "t").join(background.withColumnRenamed("n", "b"), "k", "full").na.fill(0, ["t", "b"])
-    rows = both.where(F.col("t") / max(1, n_t) + F.col("b") / max(1, n_b) >= 2 * share).toArrow()
-    k, t, b = (rows.column(c).to_numpy() for c in ("k", "t", "b"))
-    order = np.argsort(k.astype(np.uint64)) if len(k) else np.empty(0, np.int64)
-    return k[order], t[order], b[order], n_t, n_b
+def _reaching(counts: DataFrame, n_t: int, n_b: int, share: float) -> DataFrame:
+    return counts.where(F.col("t") / max(1, n_t) + F.col("b") / max(1, n_b) >= 2 * share)
 
 
 def learn(target: DataFrame, background: DataFrame, s: Settings = Settings()) -> Model:
     """Both tables have a column text; all their rows are counted."""
+    spark = target.sparkSession
 
     def hashed():
         words = Words()
         return lambda texts: words(texts)[0].view(np.int64)
 
-    names = ("target", "background")
-    singles = [written(_counted(x, hashed, s.flush), f"words-{n}") for x, n in zip((target, background), names)]
-    keys, t, b, n_t, n_b = _shares(*singles, s.word_share)
-    vocabulary = keys.astype(np.int64).view(np.uint64)
-    order = np.argsort(vocabulary)
-    vocabulary, t, b = vocabulary[order], t[order], b[order]
-    unigrams = tuple(np.concatenate([[n - c.sum()], c]).astype(np.float64) for n, c in ((n_t, t), (n_b, b)))
-    sent = target.sparkSession.sparkContext.broadcast(vocabulary)
+    singles = written(_both(*(_counted(x, hashed, s.flush) for x in (target, background))), "words")
+    n_t, n_b, size = _sums(singles)
+    known = None
+    if s.word_share > 0:
+        kept = _reaching(singles, n_t, n_b, s.word_share)
+        rows = kept.toArrow()
+        known, size = np.sort(rows.column("k").to_numpy().astype(np.int64).view(np.uint64)), rows.num_rows
+        t, b = (n - int(rows.column(c).to_numpy().sum()) for c, n in (("t", n_t), ("b", n_b)))
+        singles = kept.unionAll(spark.createDataFrame([(0, t, b)], "k bigint, t bigint, b bigint"))
+    sent = spark.sparkContext.broadcast(known)
 
     def paired():
         words, known = Words(), sent.value
 
         def keys_of(texts: list) -> np.ndarray:
             hashes, sizes = words(texts)
-            return bigrams_of(codes_of(hashes, known), sizes, len(known) + 1)
+            hashes = within(hashes, known)
+            return pair_hash(hashes[:-1], hashes[1:])[followers(sizes, len(hashes))[1:]].view(np.int64)
 
         return keys_of
 
-    doubles = [written(_counted(x, paired, s.flush), f"bigrams-{n}") for x, n in zip((target, background), names)]
-    keys, t, b, _, _ = _shares(*doubles, s.bigram_share)
-    return Model(vocabulary, unigrams, keys.astype(np.int64), (t.astype(np.float64), b.astype(np.float64)), s.prior)
+    doubles = _both(*(_counted(x, paired, s.flush) for x in (target, background)))
+    if s.bigram_share > 0:
+        doubles = written(doubles, "bigrams")
+        doubles = _reaching(doubles, *_sums(doubles)[:2], s.bigram_share)
+    return Model(known, singles, doubles, (n_t, n_b), size, s)
 
 
-def losses(m: Model, codes: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Loss in bits of each token under the target and the background model."""
-    width = len(m.words) + 1
-    first = np.zeros(len(codes), bool)
-    starts = np.cumsum(sizes) - sizes
-    first[starts[sizes > 0]] = True
-    before = np.where(first, 0, np.roll(codes, 1))
-    pair = before * width + codes
-    if len(m.bigrams):
-        at = np.searchsorted(m.bigrams, pair)
-        at[at == len(m.bigrams)] = 0
-        known = (m.bigrams[at] == pair) & ~first
+def _pairs(codes: np.ndarray, sizes: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct bigrams (before * width + word) of a chunk, the place of each among them, and which words have one."""
+    follows = followers(sizes, len(codes))
+    return *np.unique((codes[:-1] * width + codes[1:])[follows[1:]], return_inverse=True), follows
+
+
+def _chunks(docs: DataFrame, known, most: int) -> DataFrame:
+    """One row per run of documents of one task: their ids and sizes, the chunk's distinct words, and the place of each token among them."""
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
+        words, chunk = Words(), TaskContext.get().partitionId() << 32
+        held: list[tuple[list, np.ndarray, np.ndarray]] = []
+        tokens = rows = 0
+
+        def row() -> pa.RecordBatch:
+            distinct, codes = np.unique(np.concatenate([h for _, h, _ in held]), return_inverse=True)
+            ids, sizes = [i for x, _, _ in held for i in x], np.concatenate([n for _, _, n in held])
+            cols = [pa.array([chunk], pa.int64()), pa.array([ids], pa.list_(pa.int64())), *(pa.array([x], pa.binary()) for x in (sizes.tobytes(), distinct.tobytes(), pa.compress(codes.astype(np.uint32).tobytes(), "zstd", asbytes=True)))]
+            return pa.RecordBatch.from_arrays(cols, names=["chunk", "ids", "sizes", "words", "codes"])
+
+        for batch in batches:
+            ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            for lo in range(0, len(texts), 200):
+                hashes, sizes = words(texts[lo : lo + 200])
+                held.append((ids[lo : lo + 200], within(hashes, known.value), sizes))
+                tokens, rows = tokens + len(hashes), rows + len(sizes)
+                if tokens >= most or rows >= most:
+                    yield row()
+                    held.clear()
+                    chunk, tokens, rows = chunk + 1, 0, 0
+        if held:
+            yield row()
+
+    return map_arrow(docs.select(F.col("doc_id").cast("long"), "text"), cut, "chunk bigint, ids array<bigint>, sizes binary, words binary, codes binary")
+
+
+def _codes(packed: bytes, sizes: np.ndarray) -> np.ndarray:
+    return np.frombuffer(pa.decompress(packed, int(sizes.sum()) * 4, "zstd", asbytes=True), np.uint32).astype(np.int64)
+
+
+def _asked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The distinct n-grams of each chunk by place: words first, then bigrams."""
+    for batch in batches:
+        for chunk, *blobs in zip(*(c.to_pylist() for c in batch.columns)):
+            sizes, words = (np.frombuffer(x, t) for x, t in zip(blobs, (np.int64, np.uint64)))
+            pairs = _pairs(_codes(blobs[2], sizes), sizes, max(1, len(words)))[0]
+            keys = np.concatenate([words, pair_hash(*(words[x] for x in divmod(pairs, max(1, len(words)))))]).view(np.int64)
+            for lo in range(0, len(keys), 100_000):
+                k = keys[lo : lo + 100_000]
+                at = np.arange(lo, lo + len(k), dtype=np.int32)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(k), chunk)), pa.array(at), pa.array(at >= len(words)), pa.array(k)], names=["chunk", "i", "pair", "k"])
+
+
+def losses(counts: tuple[np.ndarray, np.ndarray], totals: tuple[int, int], size: int, prior: float, n_words: int, codes: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Loss in bits of each token under the target and the background model; counts: of the chunk's n-grams by place."""
+    _, at, follows = _pairs(codes, sizes, max(1, n_words))
+    before = np.roll(codes, 1)
     out = []
-    for uni, pairs in zip(m.unigrams, m.pairs):
-        p = (uni + 1) / (uni.sum() + width)
-        seen = np.where(known, pairs[at], 0.0) if len(m.bigrams) else 0.0
-        context = np.where(first, 0.0, uni[before])
-        out.append(-np.log2((seen + m.prior * p[codes]) / (context + m.prior)))
+    for n, c in zip(totals, counts):
+        p = (c[codes] + 1) / (n + size + 1)
+        seen = np.zeros(len(codes))
+        seen[follows] = c[n_words + at]
+        context = np.where(follows, c[before], 0.0)
+        out.append(-np.log2((seen + prior * p) / (context + prior)))
     return out[0], out[1]
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
     """doc_id, n_tokens, target_loss and background_loss (bits per token) and score (background less target)."""
-    sent = docs.sparkSession.sparkContext.broadcast(model)
-
-    def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m, words = sent.value, Words()
-        for batch in batches:
-            texts = batch.column(1).to_pylist()
-            sizes, target, background = [], [], []
-            for lo in range(0, len(texts), 2000):
-                hashes, n = words(texts[lo : lo + 2000])
-                a, b = losses(m, codes_of(hashes, m.words), n)
-                owner = np.repeat(np.arange(len(n)), n)
-                sizes.append(n)
-                target.append(np.bincount(owner, weights=a, minlength=len(n)) / np.maximum(1, n))
-                background.append(np.bincount(owner, weights=b, minlength=len(n)) / np.maximum(1, n))
-            n, a, b = (np.concatenate(x) if x else np.empty(0) for x in (sizes, target, background))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(a, pa.float64()), pa.array(b, pa.float64()), pa.array(b - a, pa.float64())], names=["doc_id", "n_tokens", "target_loss", "background_loss", "score"])
-
-    return map_arrow(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), scored, "doc_id bigint, n_tokens bigint, target_loss double, background_loss double, score double")
+    totals, size, prior = model.totals, model.size, model.settings.prior
+    chunks = written(_chunks(docs, docs.sparkSession.sparkContext.broadcast(model.known), model.settings.chunk), "chunks")
+    asked = map_arrow(chunks.select("chunk", "sizes", "words", "codes"), _asked, "chunk bigint, i int, pair boolean, k bigint")
+    answers = None
+    for of, counts in (("not pair", model.words), ("pair", model.bigrams)):
+        found = asked.where(of).select("chunk", "i", "k").join(counts, "k", "left").na.fill(0, ["t", "b"]).where("t <> 0 or b <> 1").select("chunk", "i", "t", "b")
+        answers = found if answers is None else answers.unionAll(found)
+
+    def scored(chunk: pa.Table, found: pa.Table) -> pa.Table:
+        ids = chunk.column("ids").combine_chunks().flatten()
+        sizes = np.frombuffer(chunk.column("sizes")[0].as_py(), np.int64)
+        codes, n_words = _codes(chunk.column("codes")[0].as_py(), sizes), int(chunk.column("n_words")[0].as_py())
+        place = found.column("i").to_numpy()
+        n_grams = n_words + len(_pairs(codes, sizes, max(1, n_words))[0])
+        counts = np.zeros(n_grams), np.ones(n_grams)
+        for c, name in zip(counts, ("t", "b")):
+            c[place] = found.column(name).to_numpy()
+        owner, n = np.repeat(np.arange(len(sizes)), sizes), np.maximum(1, sizes)
+        a, b = (np.bincount(owner, weights=x, minlength=len(sizes)) / n for x in losses(counts, totals, size, prior, n_words, codes, sizes))
+        return pa.Table.from_arrays([ids, pa.array(sizes), pa.array(a), pa.array(b), pa.array(b - a)], names=["doc_id", "n_tokens", "target_loss", "background_loss", "score"])
+
+    left = chunks.select("chunk", "ids", "sizes", "codes", (F.octet_length("words") / 8).cast("int").alias("n_words"))
+    return left.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(scored, "doc_id bigint, n_tokens bigint, target_loss double, background_loss double, score double")

@@ -48,3 +48,18 @@ def test_empty_tables(docs):
     model = M.learn(docs([]), docs([]))
     assert M.score(docs([]), model).count() == 0
     assert M.score(docs([(1, "a b"), (2, None)]), model).count() == 2
+
+
+def test_rare_ngrams_of_a_large_corpus_are_kept(docs):
+    texts = ["the " * 1_200_000, "a rare pair here", None, "", "here a rare pair", "never seen the", "a rare pair here"]
+    other = ["a rare word", "the the"]
+    want = brute(other, texts, M.Settings(word_share=0.0, bigram_share=0.0))
+    df = docs(list(enumerate(texts))).repartition(3)
+    for chunk in (1_000_000, 1):
+        got = {r.doc_id: r for r in M.score(df, M.learn(docs(list(enumerate(other))), df, M.Settings(chunk=chunk))).collect()}
+        assert len(got) == len(texts)
+        for i, (n, a, b) in enumerate(want):
+            assert got[i].n_tokens == n and abs(got[i].target_loss - a) < 1e-9 and abs(got[i].background_loss - b) < 1e-9
+    # texts that the models have not counted
+    new = docs([(1, "the other pair"), (2, "rare rare")])
+    assert all(r.n_tokens > 0 and r.background_loss > 0 for r in M.score(new, M.learn(docs(list(enumerate(other))), df)).collect())
