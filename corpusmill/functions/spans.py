@@ -53,15 +53,19 @@ def occurrences(tokens: Column, mention: Column, label: Column) -> Column:
 def iob_spans(tags: Column) -> Column:
     """Spans of IOB2 tags. An I- that does not continue its label begins a span; one that does continues the last span, even after an O."""
 
-    def step(acc: Column, t: Column) -> Column:
-        label, last = F.substring(t["tag"], 3, 1 << 20), F.element_at(acc, -1)
-        fresh = F.concat(acc, F.array(_span(t["i"], t["i"], label)))
-        longer = F.concat(F.slice(acc, 1, F.size(acc) - 1), F.array(_span(last["start"], t["i"], last["label"])))
-        goes_on = t["tag"].startswith("I-") & (F.size(acc) > 0) & F.coalesce(F.try_element_at(acc, F.lit(-1))["label"] == label, F.lit(False))
-        return F.when(goes_on, longer).when(t["tag"].startswith("B-") | t["tag"].startswith("I-"), fresh).otherwise(acc)
-
-    placed = F.transform(tags, lambda t, i: F.struct(t.alias("tag"), i.alias("i")))
-    return F.aggregate(placed, F.array().cast(f"array<{SPAN}>"), step)
+    def of(e: Column) -> Column:
+        # the last span's label is that of the entity tag before
+        fresh = lambda x, j: x["tag"].startswith("B-") | (j == 0) | (x["label"] != F.get(e, j - 1)["label"])
+        firsts = F.filter(F.transform(e, lambda x, j: F.when(fresh(x, j), j)), lambda j: j.isNotNull())
+
+        def spans(at: Column) -> Column:
+            last = lambda k: F.coalesce(F.get(at, k + 1), F.size(e)) - 1
+            return F.transform(at, lambda j, k: _span(F.get(e, j)["i"], F.get(e, last(k))["i"], F.get(e, j)["label"]))
+
+        return let(firsts, spans)
+
+    placed = F.transform(tags, lambda t, i: F.struct(t.alias("tag"), F.substring(t, 3, 1 << 20).alias("label"), i.alias("i")))
+    return let(F.filter(placed, lambda t: t["tag"].startswith("B-") | t["tag"].startswith("I-")), of)
 
 
 def normal_label(label: Column) -> Column:

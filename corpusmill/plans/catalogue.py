@@ -511,16 +511,17 @@ def nearest_before_after(spark, sf_dir):
 def iob_decode(spark, sf_dir):
     w = X.words(F.coalesce("text", F.lit("")))
     tags = F.transform(w, lambda x: F.when(x.rlike("^[A-Z]"), F.concat(F.lit("B-"), F.lower(F.substring(x, 1, 1)))).when(F.length(x) % 3 == 0, F.concat(F.lit("I-"), F.lower(F.substring(x, 1, 1)))).otherwise("O"))
-    t = table(spark, sf_dir, "documents").where("n_chars < 2000")
+    t = table(spark, sf_dir, "documents")
     return t.select("doc_id", F.explode(S.iob_spans(tags)).alias("s")).select("doc_id", "s.*")
 
 
 @query()
 def char_to_token_bridge(spark, sf_dir):
-    t = table(spark, sf_dir, "documents").where("n_chars between 20 and 1500")
+    t = table(spark, sf_dir, "documents")
     def placed(w):
-        starts = F.aggregate(w, F.array(F.lit(0)), lambda acc, x: F.concat(acc, F.array(F.element_at(acc, -1) + F.length(x) + 1)))
-        return X.let(starts, lambda at: F.transform(w, lambda x, i: F.struct(x.alias("token"), F.get(at, i).alias("start"), (F.get(at, i) + F.length(x)).alias("end"))))
+        spaces = F.filter(F.transform(F.split("text", ""), lambda x, i: F.when(x == " ", i)), lambda i: i.isNotNull())
+        start = lambda at, i: F.coalesce(F.get(at, i - 1) + 1, F.lit(0))
+        return X.let(spaces, lambda at: F.transform(w, lambda x, i: F.struct(x.alias("token"), start(at, i).alias("start"), (start(at, i) + F.length(x)).alias("end"))))
 
     toks = X.let(F.split("text", " "), placed)
     spans = F.array(*(F.struct(F.lit(a).alias("start"), F.lit(b).alias("end"), F.lit(x).alias("label")) for a, b, x in ((0, 5, "x"), (3, 14, "y"), (900, 910, "z"), (-1, 4, "u"))))
