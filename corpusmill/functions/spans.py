@@ -1,4 +1,4 @@
-"""Span algebra as array expressions.
+"""Span algebra as array expressions; greedy_longest is an Arrow function.
 
 Token spans are array<struct<start, end, label>> with the end inclusive; character spans have an exclusive end; tokens with
 places are array<struct<token, start, end>>.
@@ -6,6 +6,9 @@ places are array<struct<token, start, end>>.
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -120,15 +123,34 @@ def bridged(tokens: Column, spans: Column, text: Column) -> Column:
 
 def greedy_longest(spans: Column) -> Column:
     """Non-overlapping spans: the longest first, then the leftmost, then the earliest in the input; returned by start."""
-    ranked = F.sort_array(F.transform(spans, lambda s, i: F.struct((s["start"] - s["end"]).alias("w"), s["start"].alias("start"), i.alias("i"), s.alias("s"))))
-    empty = F.array().cast(f"array<{SPAN}>")
 
-    def step(acc: Column, x: Column) -> Column:
-        s = x["s"]
-        clash = F.exists(acc, lambda a: (a["start"] <= s["end"]) & (s["start"] <= a["end"]))
-        return F.when(clash, acc).otherwise(F.concat(acc, F.array(_span(s["start"], s["end"], s["label"]))))
-
-    return F.sort_array(F.aggregate(ranked, empty, step))
+    def pick(lists: pa.Array) -> pa.Array:
+        flat, sizes = lists.flatten(), pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
+        starts, ends = (pc.struct_field(flat, name) for name in ("start", "end"))
+        known = pc.and_(starts.is_valid(), ends.is_valid()).to_numpy(zero_copy_only=False)
+        starts, ends = (pc.fill_null(x, 0).to_numpy(zero_copy_only=False).astype(np.int64) for x in (starts, ends))
+        kept, counts, lo = [], [0], 0
+        for n in sizes.tolist():
+            a, b = starts[lo : lo + n], ends[lo : lo + n]
+            places, at = np.unique(np.concatenate([a, b]), return_inverse=True)
+            first, last, owner = at[:n].tolist(), at[n:].tolist(), [-1] * len(places)
+            # spans taken before are as long or longer: one that clashes covers an end of this one
+            for i in np.lexsort((a, a - b)).tolist():
+                p, q = first[i], last[i]
+                if not known[lo + i]:
+                    kept.append(lo + i)
+                elif p > q:
+                    if owner[p] < 0 or owner[p] != owner[q]:
+                        kept.append(lo + i)
+                elif owner[p] < 0 and owner[q] < 0:
+                    owner[p : q + 1] = [i] * (q - p + 1)
+                    kept.append(lo + i)
+            counts.append(len(kept))
+            lo += n
+        return pa.ListArray.from_arrays(pa.array(counts, pa.int32()), flat.take(pa.array(kept, pa.int64())), mask=lists.is_null())
+
+    typed = F.transform(spans, lambda s: _span(s["start"], s["end"], s["label"]))
+    return F.sort_array(F.arrow_udf(pick, f"array<{SPAN}>")(typed))
 
 
 def secondary_labels(mention: Column) -> Column:

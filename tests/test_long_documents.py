@@ -54,3 +54,15 @@ def test_bridge_reads_whole_texts(spark, folder):
                 if a < b and touched:
                     want.append((d, touched[0], touched[-1], label))
     assert answer(spark, folder, "char_to_token_bridge") == sorted(want)
+
+
+def test_greedy_longest_match_reads_all_spans(spark, folder):
+    want = []
+    for d, t in enumerate(TEXTS):
+        spans = [(i, i + len(w) % 4, w) for i, w in enumerate((t or "").split())]
+        used = set()
+        for a, b, w in sorted(spans, key=lambda s: (s[0] - s[1], s[0])):
+            if not used & set(range(a, b + 1)):
+                used |= set(range(a, b + 1))
+                want.append((d, a, b, w))
+    assert answer(spark, folder, "greedy_longest_match") == sorted(want)
