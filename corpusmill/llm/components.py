@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import discard, written
 
 
 def components(links: DataFrame, most_rounds: int = 60) -> DataFrame:
@@ -13,7 +13,7 @@ def components(links: DataFrame, most_rounds: int = 60) -> DataFrame:
 
     Alternating large-star and small-star rounds (Kiveris et al., 2014): each is one shuffle of the links, partial
     aggregation keeps a hub's rows from gathering, and the rounds grow with the logarithm of the size. Every round is
-    written to the shared folder. ``most_rounds`` is a guard against a fault, not a cut: reaching it raises.
+    written to the shared folder and replaces the one before. ``most_rounds`` is a guard against a fault, not a cut: reaching it raises.
     """
 
     def star(edges: DataFrame, large: bool) -> DataFrame:
@@ -33,10 +33,13 @@ def components(links: DataFrame, most_rounds: int = 60) -> DataFrame:
     edges = written(links.select(F.col("a").cast("long"), F.col("b").cast("long")).where("a <> b").distinct(), "links")
     mark = None
     for _ in range(most_rounds):
-        edges = written(star(star(edges, True), False), "links")
+        before, edges = edges, written(star(star(edges, True), False), "links")
+        discard(before)
         # edges point from a node to a smaller one; unchanged sums over all of them mean that the stars stand
         now = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if now == mark:
-            return edges.select(F.col("a").alias("node"), F.col("b").alias("component")).union(edges.select("b", "b").distinct())
+            out = edges.select(F.col("a").alias("node"), F.col("b").alias("component")).union(edges.select("b", "b").distinct())
+            out.written_path = edges.written_path
+            return out
         mark = now
     raise RuntimeError("the links did not settle")
