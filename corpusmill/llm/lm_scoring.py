@@ -2,23 +2,21 @@
 
 Both are word bigram models with one shared vocabulary, the same order and the same smoothing; they differ only in the
 text they count. A document's score is the mean over its tokens of the background loss less the target loss, in bits: the
-higher, the more the document resembles the target.
+higher, the more the document resembles the target. Every counted word is in the vocabulary, every counted bigram is kept.
 
-1. Word counts of both corpora over all texts; every counted word is in the vocabulary. With ``word_share`` above 0 only
-   words whose share, averaged over the two corpora, reaches it are; all others are one unknown word.
-2. Bigram counts of both corpora over all texts, in that vocabulary; every counted bigram is kept. With ``bigram_share``
-   above 0 only those whose averaged share reaches it are, others back off.
-3. P(w | v) = (c(v, w) + prior * P(w)) / (c(v) + prior), with P(w) = (c(w) + 1) / (n + words + 1): Dirichlet smoothing.
+P(w | v) = (c(v, w) + prior * P(w)) / (c(v) + prior), with P(w) = (c(w) + 1) / (n + words + 1): Dirichlet smoothing.
 
-The models grow with the corpora, so they are tables. Documents are scored in chunks of a bounded number of tokens: a chunk
-asks for each of its distinct n-grams once, the questions are joined with the counts by n-gram, and the answers go back to
-the chunk. An n-gram that was seen once, in the background, is the common case: its answer is left out, and what has no
-answer counts as that. N-grams are known by 64-bit hashes.
+A document that is itself part of the background is left out of it: its own counts are taken off before it is scored, or
+else every text would look familiar to a model that has seen it.
 
-Counts are combined within each task before they are shuffled; a frequent n-gram arrives once per task.
+The models grow with the corpora, so they are never gathered or broadcast. A corpus is cut into chunks of a bounded number
+of tokens, each of which sends its distinct words and bigrams with their counts once, by n-gram. These rows are the counts
+and the questions at the same time: a window over each n-gram adds up its counts, and only n-grams that other chunks or the
+target hold too go back to the chunk that asked. What has no answer occurs nowhere else. N-grams are known by 64-bit
+hashes, even for words and odd for bigrams. A frequent n-gram has one row for each chunk, which a window reads in turn.
 
 Defined cases: a text without words scores 0.0 with no token; an empty corpus leaves a model that knows only smoothing;
-repeated rows count and are scored each on its own; extra columns are ignored.
+repeated rows count and are scored each on its own; null doc_ids stay null; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -28,7 +26,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import LOWER_TABLE, map_arrow, written
@@ -36,31 +34,24 @@ from .common import LOWER_TABLE, map_arrow, written
 
 @dataclass(frozen=True)
 class Settings:
-    #: Least averaged share of a word and of a bigram; 0 keeps all.
-    word_share: float = 0.0
-    bigram_share: float = 0.0
     prior: float = 50.0
-    #: Distinct n-grams that a task combines before it passes them on.
-    flush: int = 2_000_000
-    #: Tokens after which a chunk of scored documents ends.
+    #: Tokens, and documents, after which a chunk ends.
     chunk: int = 2_000_000
 
 
 @dataclass
 class Model:
-    #: Sorted hashes of the vocabulary where word_share bounds it; None where every word counts.
-    known: np.ndarray | None
-    #: (k, t, b): hash of a word or a bigram, its counts in target and background.
-    words: DataFrame
-    bigrams: DataFrame
-    #: Sums of the word counts of target and background; size of the vocabulary.
+    #: Chunks of the corpora that the two models count.
+    target: DataFrame
+    background: DataFrame
+    #: Tokens of target and background; words that either holds.
     totals: tuple[int, int]
     size: int
     settings: Settings
 
 
 class Words:
-    """64-bit hashes of white-space words, A-Z lower-cased, remembered up to a bounded number."""
+    """64-bit hashes (even) of white-space words, A-Z lower-cased, remembered up to a bounded number."""
 
     def __init__(self, most: int = 600_000):
         import xxhash
@@ -74,7 +65,7 @@ class Words:
             words = t.encode().translate(LOWER_TABLE).split() if t else []
             for w in words:
                 if w not in known:
-                    known[w] = self.of_word(w)
+                    known[w] = self.of_word(w) & ~1
             out.append(np.fromiter(map(known.__getitem__, words), np.uint64, len(words)))
             sizes.append(len(words))
             if len(known) > self.most:
@@ -82,17 +73,6 @@ class Words:
         return np.concatenate(out) if out else np.empty(0, np.uint64), np.array(sizes, np.int64)
 
 
-def within(hashes: np.ndarray, known: np.ndarray | None) -> np.ndarray:
-    """Hashes in the vocabulary; 0, the unknown word, for all others."""
-    if known is None:
-        return hashes
-    if not len(known):
-        return np.zeros_like(hashes)
-    at = np.searchsorted(known, hashes)
-    at[at == len(known)] = 0
-    return np.where(known[at] == hashes, hashes, np.uint64(0))
-
-
 def followers(sizes: np.ndarray, n: int) -> np.ndarray:
     """Whether each of n words has a word before it in its text."""
     out = np.ones(n, bool)
@@ -102,95 +82,10 @@ def followers(sizes: np.ndarray, n: int) -> np.ndarray:
 
 
 def pair_hash(before: np.ndarray, word: np.ndarray) -> np.ndarray:
-    return before * np.uint64(0x9E3779B97F4A7C15) + word
-
-
-def _counted(texts: DataFrame, keys_of, flush: int) -> DataFrame:
-    """(k, n): the keys that keys_of gives for a list of texts, counted within tasks; a key may have several rows."""
-
-    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        find = keys_of()
-        held: list[tuple[np.ndarray, np.ndarray]] = []
-
-        def merged() -> tuple[np.ndarray, np.ndarray]:
-            keys, where = np.unique(np.concatenate([k for k, _ in held]), return_inverse=True)
-            return keys, np.bincount(where, weights=np.concatenate([n for _, n in held])).astype(np.int64)
-
-        def rows(k: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(k.astype(np.int64)), pa.array(n)], names=["k", "n"])
-
-        for batch in batches:
-            texts = batch.column(0).to_pylist()
-            for lo in range(0, len(texts), 2000):
-                held.append(np.unique(find(texts[lo : lo + 2000]), return_counts=True))
-                if len(held) >= 8:
-                    held = [merged()]
-                    if len(held[0][0]) > flush:
-                        yield rows(*held.pop())
-        if held:
-            yield rows(*merged())
-
-    return map_arrow(texts.select("text"), counted, "k bigint, n bigint")
-
-
-def _both(target: DataFrame, background: DataFrame) -> DataFrame:
-    """(k, t, b) of two tables (k, n), with one row for each key."""
-    none = F.lit(0).cast("long")
-    rows = target.select("k", F.col("n").alias("t"), none.alias("b")).unionAll(background.select("k", none.alias("t"), F.col("n").alias("b")))
-    return rows.groupBy("k").agg(F.sum("t").alias("t"), F.sum("b").alias("b"))
-
-
-def _sums(counts: DataFrame) -> tuple[int, int, int]:
-    return tuple(int(x or 0) for x in counts.agg(F.sum("t"), F.sum("b"), F.count("*")).first())
-
-
-def _reaching(counts: DataFrame, n_t: int, n_b: int, share: float) -> DataFrame:
-    return counts.where(F.col("t") / max(1, n_t) + F.col("b") / max(1, n_b) >= 2 * share)
-
-
-def learn(target: DataFrame, background: DataFrame, s: Settings = Settings()) -> Model:
-    """Both tables have a column text; all their rows are counted."""
-    spark = target.sparkSession
+    return (before * np.uint64(0x9E3779B97F4A7C15) + word) | np.uint64(1)
 
-    def hashed():
-        words = Words()
-        return lambda texts: words(texts)[0].view(np.int64)
 
-    singles = written(_both(*(_counted(x, hashed, s.flush) for x in (target, background))), "words")
-    n_t, n_b, size = _sums(singles)
-    known = None
-    if s.word_share > 0:
-        kept = _reaching(singles, n_t, n_b, s.word_share)
-        rows = kept.toArrow()
-        known, size = np.sort(rows.column("k").to_numpy().astype(np.int64).view(np.uint64)), rows.num_rows
-        t, b = (n - int(rows.column(c).to_numpy().sum()) for c, n in (("t", n_t), ("b", n_b)))
-        singles = kept.unionAll(spark.createDataFrame([(0, t, b)], "k bigint, t bigint, b bigint"))
-    sent = spark.sparkContext.broadcast(known)
-
-    def paired():
-        words, known = Words(), sent.value
-
-        def keys_of(texts: list) -> np.ndarray:
-            hashes, sizes = words(texts)
-            hashes = within(hashes, known)
-            return pair_hash(hashes[:-1], hashes[1:])[followers(sizes, len(hashes))[1:]].view(np.int64)
-
-        return keys_of
-
-    doubles = _both(*(_counted(x, paired, s.flush) for x in (target, background)))
-    if s.bigram_share > 0:
-        doubles = written(doubles, "bigrams")
-        doubles = _reaching(doubles, *_sums(doubles)[:2], s.bigram_share)
-    return Model(known, singles, doubles, (n_t, n_b), size, s)
-
-
-def _pairs(codes: np.ndarray, sizes: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct bigrams (before * width + word) of a chunk, the place of each among them, and which words have one."""
-    follows = followers(sizes, len(codes))
-    return *np.unique((codes[:-1] * width + codes[1:])[follows[1:]], return_inverse=True), follows
-
-
-def _chunks(docs: DataFrame, known, most: int) -> DataFrame:
+def chunked(texts: DataFrame, most: int) -> DataFrame:
     """One row per run of documents of one task: their ids and sizes, the chunk's distinct words, and the place of each token among them."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -203,14 +98,15 @@ def _chunks(docs: DataFrame, known, most: int) -> DataFrame:
         def row() -> pa.RecordBatch:
             distinct, codes = np.unique(np.concatenate([h for _, h, _ in held]), return_inverse=True)
             ids, sizes = [i for x, _, _ in held for i in x], np.concatenate([n for _, _, n in held])
-            cols = [pa.array([chunk], pa.int64()), pa.array([ids], pa.list_(pa.int64())), *(pa.array([x], pa.binary()) for x in (sizes.tobytes(), distinct.tobytes(), pa.compress(codes.astype(np.uint32).tobytes(), "zstd", asbytes=True)))]
-            return pa.RecordBatch.from_arrays(cols, names=["chunk", "ids", "sizes", "words", "codes"])
+            blobs = (sizes.tobytes(), distinct.tobytes(), pa.compress(codes.astype(np.uint32).tobytes(), "zstd", asbytes=True))
+            cols = [pa.array([chunk], pa.int64()), pa.array([len(codes)], pa.int64()), pa.array([ids], pa.list_(pa.int64())), *(pa.array([x], pa.binary()) for x in blobs)]
+            return pa.RecordBatch.from_arrays(cols, names=["chunk", "tokens", "ids", "sizes", "words", "codes"])
 
         for batch in batches:
             ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             for lo in range(0, len(texts), 200):
                 hashes, sizes = words(texts[lo : lo + 200])
-                held.append((ids[lo : lo + 200], within(hashes, known.value), sizes))
+                held.append((ids[lo : lo + 200], hashes, sizes))
                 tokens, rows = tokens + len(hashes), rows + len(sizes)
                 if tokens >= most or rows >= most:
                     yield row()
@@ -219,62 +115,102 @@ def _chunks(docs: DataFrame, known, most: int) -> DataFrame:
         if held:
             yield row()
 
-    return map_arrow(docs.select(F.col("doc_id").cast("long"), "text"), cut, "chunk bigint, ids array<bigint>, sizes binary, words binary, codes binary")
+    ids = F.col("doc_id").cast("long") if "doc_id" in texts.columns else F.lit(None).cast("long")
+    return map_arrow(texts.select(ids.alias("doc_id"), "text"), cut, "chunk bigint, tokens bigint, ids array<bigint>, sizes binary, words binary, codes binary")
 
 
-def _codes(packed: bytes, sizes: np.ndarray) -> np.ndarray:
-    return np.frombuffer(pa.decompress(packed, int(sizes.sum()) * 4, "zstd", asbytes=True), np.uint32).astype(np.int64)
+class Chunk:
+    """A chunk's tokens, and its distinct n-grams: words first, then bigrams."""
+
+    def __init__(self, sizes: bytes, words: bytes, codes: bytes):
+        self.sizes, self.words = np.frombuffer(sizes, np.int64), np.frombuffer(words, np.uint64)
+        n, width = int(self.sizes.sum()), max(1, len(self.words))
+        self.codes = np.frombuffer(pa.decompress(codes, n * 4, "zstd", asbytes=True), np.uint32).astype(np.int64)
+        self.follows = followers(self.sizes, n)
+        pairs, self.at = np.unique((self.codes[:-1] * width + self.codes[1:])[self.follows[1:]], return_inverse=True)
+        self.keys = np.concatenate([self.words, pair_hash(*(self.words[x] for x in divmod(pairs, width)))])
+        self.counts = np.concatenate([np.bincount(self.codes, minlength=len(self.words)), np.bincount(self.at, minlength=len(pairs))])
 
 
 def _asked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The distinct n-grams of each chunk by place: words first, then bigrams."""
+    """(k, chunk, n): the distinct n-grams of each chunk."""
     for batch in batches:
         for chunk, *blobs in zip(*(c.to_pylist() for c in batch.columns)):
-            sizes, words = (np.frombuffer(x, t) for x, t in zip(blobs, (np.int64, np.uint64)))
-            pairs = _pairs(_codes(blobs[2], sizes), sizes, max(1, len(words)))[0]
-            keys = np.concatenate([words, pair_hash(*(words[x] for x in divmod(pairs, max(1, len(words)))))]).view(np.int64)
-            for lo in range(0, len(keys), 100_000):
-                k = keys[lo : lo + 100_000]
-                at = np.arange(lo, lo + len(k), dtype=np.int32)
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(k), chunk)), pa.array(at), pa.array(at >= len(words)), pa.array(k)], names=["chunk", "i", "pair", "k"])
-
-
-def losses(counts: tuple[np.ndarray, np.ndarray], totals: tuple[int, int], size: int, prior: float, n_words: int, codes: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Loss in bits of each token under the target and the background model; counts: of the chunk's n-grams by place."""
-    _, at, follows = _pairs(codes, sizes, max(1, n_words))
-    before = np.roll(codes, 1)
-    out = []
-    for n, c in zip(totals, counts):
-        p = (c[codes] + 1) / (n + size + 1)
-        seen = np.zeros(len(codes))
-        seen[follows] = c[n_words + at]
-        context = np.where(follows, c[before], 0.0)
-        out.append(-np.log2((seen + prior * p) / (context + prior)))
-    return out[0], out[1]
-
-
-def score(docs: DataFrame, model: Model) -> DataFrame:
-    """doc_id, n_tokens, target_loss and background_loss (bits per token) and score (background less target)."""
-    totals, size, prior = model.totals, model.size, model.settings.prior
-    chunks = written(_chunks(docs, docs.sparkSession.sparkContext.broadcast(model.known), model.settings.chunk), "chunks")
-    asked = map_arrow(chunks.select("chunk", "sizes", "words", "codes"), _asked, "chunk bigint, i int, pair boolean, k bigint")
-    answers = None
-    for of, counts in (("not pair", model.words), ("pair", model.bigrams)):
-        found = asked.where(of).select("chunk", "i", "k").join(counts, "k", "left").na.fill(0, ["t", "b"]).where("t <> 0 or b <> 1").select("chunk", "i", "t", "b")
-        answers = found if answers is None else answers.unionAll(found)
+            c = Chunk(*blobs)
+            order = np.argsort(c.keys)  # sorted keys are shuffled in less space
+            for lo in range(0, len(order), 100_000):
+                some = order[lo : lo + 100_000]
+                yield pa.RecordBatch.from_arrays([pa.array(c.keys[some].view(np.int64)), pa.array(np.full(len(some), chunk)), pa.array(c.counts[some])], names=["k", "chunk", "n"])
+
+
+def asked(chunks: DataFrame) -> DataFrame:
+    return map_arrow(chunks.select("chunk", "sizes", "words", "codes"), _asked, "k bigint, chunk bigint, n bigint")
+
+
+def _vocabulary(chunks: DataFrame) -> DataFrame:
+    """(k): the distinct words of each chunk."""
+
+    def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for x in batch.column(0).to_pylist():
+                yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(x, np.int64))], names=["k"])
+
+    return map_arrow(chunks.select("words"), words, "k bigint").distinct()
+
+
+def learn(target: DataFrame, background: DataFrame, s: Settings = Settings()) -> Model:
+    """Both tables have a column text; all their rows are counted. A background with doc_id can be scored itself."""
+    chunks = [written(chunked(x, s.chunk), "chunks") for x in (target, background)]
+    totals = tuple(int(x.agg(F.sum("tokens")).first()[0] or 0) for x in chunks)
+    return Model(*chunks, totals, _vocabulary(chunks[0].unionAll(chunks[1])).count(), s)
+
+
+def losses(c: Chunk, counts: np.ndarray, n: int, size: int, prior: float, own: bool) -> np.ndarray:
+    """Loss in bits of each token. counts: of the chunk's n-grams, in the whole corpus of n tokens; own: each document's counts are among them and come off."""
+    owner, first = np.repeat(np.arange(len(c.sizes)), c.sizes), len(c.words)
+    place = np.zeros(len(c.codes), np.int64)  # of the bigram that ends in each token
+    place[c.follows] = first + c.at
+    before = np.roll(c.codes, 1)
+
+    def seen(grams: np.ndarray) -> np.ndarray:
+        return counts[grams].astype(np.float64)
+
+    word, pair, context, total = seen(c.codes), np.where(c.follows, seen(place), 0.0), np.where(c.follows, seen(before), 0.0), np.float64(n)
+    if own:
+        _, which, held = np.unique(owner * first + c.codes, return_inverse=True, return_counts=True)
+        mine = held[which]
+        word, total = word - mine, total - c.sizes[owner]
+        context = context - np.where(c.follows, np.roll(mine, 1), 0)
+        _, which, held = np.unique((owner * len(counts) + place)[c.follows], return_inverse=True, return_counts=True)
+        pair[c.follows] -= held[which]
+    p = (word + 1) / (total + size + 1)
+    return -np.log2((pair + prior * p) / (context + prior))
+
+
+def score(model: Model, docs: DataFrame | None = None) -> DataFrame:
+    """doc_id, n_tokens, target_loss and background_loss (bits per token) and score (background less target).
+
+    Without docs, the documents of the background are scored, each left out of the counts; docs are others.
+    """
+    own, totals, size, prior = docs is None, model.totals, model.size, model.settings.prior
+    chunks = model.background if own else written(chunked(docs, model.settings.chunk), "chunks")
+    # target rows have no chunk, rows of a background that is not scored have -1
+    rows = asked(chunks).unionAll(asked(model.target).withColumn("chunk", F.lit(None).cast("long")))
+    if not own:
+        rows = rows.withColumn("n", F.when(F.col("chunk") >= 0, 0).otherwise(F.col("n"))).unionAll(asked(model.background).withColumn("chunk", F.lit(-1).cast("long")))
+    same = Window.partitionBy("k")
+    sums = rows.withColumns({"t": F.sum(F.when(F.col("chunk").isNull(), F.col("n"))).over(same), "b": F.sum(F.when(F.col("chunk").isNotNull(), F.col("n"))).over(same)})
+    answers = sums.where("chunk >= 0").select("chunk", "k", F.coalesce("t", F.lit(0)).alias("t"), (F.col("b") - F.col("n")).alias("b")).where("t > 0 or b > 0")
 
     def scored(chunk: pa.Table, found: pa.Table) -> pa.Table:
-        ids = chunk.column("ids").combine_chunks().flatten()
-        sizes = np.frombuffer(chunk.column("sizes")[0].as_py(), np.int64)
-        codes, n_words = _codes(chunk.column("codes")[0].as_py(), sizes), int(chunk.column("n_words")[0].as_py())
-        place = found.column("i").to_numpy()
-        n_grams = n_words + len(_pairs(codes, sizes, max(1, n_words))[0])
-        counts = np.zeros(n_grams), np.ones(n_grams)
-        for c, name in zip(counts, ("t", "b")):
-            c[place] = found.column(name).to_numpy()
-        owner, n = np.repeat(np.arange(len(sizes)), sizes), np.maximum(1, sizes)
-        a, b = (np.bincount(owner, weights=x, minlength=len(sizes)) / n for x in losses(counts, totals, size, prior, n_words, codes, sizes))
-        return pa.Table.from_arrays([ids, pa.array(sizes), pa.array(a), pa.array(b), pa.array(b - a)], names=["doc_id", "n_tokens", "target_loss", "background_loss", "score"])
-
-    left = chunks.select("chunk", "ids", "sizes", "codes", (F.octet_length("words") / 8).cast("int").alias("n_words"))
-    return left.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(scored, "doc_id bigint, n_tokens bigint, target_loss double, background_loss double, score double")
+        c = Chunk(*(chunk.column(x)[0].as_py() for x in ("sizes", "words", "codes")))
+        order = np.argsort(c.keys)
+        place = order[np.searchsorted(c.keys, found.column("k").to_numpy().view(np.uint64), sorter=order)]
+        counts = np.zeros(len(c.keys), np.int64), c.counts.copy() if own else np.zeros(len(c.keys), np.int64)
+        for x, name in zip(counts, ("t", "b")):
+            x[place] += found.column(name).to_numpy()
+        owner, n = np.repeat(np.arange(len(c.sizes)), c.sizes), np.maximum(1, c.sizes)
+        a, b = (np.bincount(owner, weights=losses(c, x, m, size, prior, out), minlength=len(n)) / n for x, m, out in zip(counts, totals, (False, own)))
+        return pa.Table.from_arrays([chunk.column("ids").combine_chunks().flatten(), pa.array(c.sizes), pa.array(a), pa.array(b), pa.array(b - a)], names=["doc_id", "n_tokens", "target_loss", "background_loss", "score"])
+
+    return chunks.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(scored, "doc_id bigint, n_tokens bigint, target_loss double, background_loss double, score double")

@@ -95,7 +95,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, target = read(spark, sf_dir, "documents"), read(spark, sf_dir, "conversations")
-    return lm_scoring.score(docs, lm_scoring.learn(target, docs))
+    return lm_scoring.score(lm_scoring.learn(target, docs))
 
 
 def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:

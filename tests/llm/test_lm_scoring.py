@@ -1,7 +1,10 @@
 import math
+import random
 import re
 from collections import Counter
 
+import pytest
+
 from corpusmill.llm import lm_scoring as M
 
 
@@ -9,57 +12,68 @@ def words(t):
     return re.findall(r"[^\x20\x09-\x0d]+", "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in t or ""))
 
 
-def brute(target, docs, s):
-    corpora = [[words(t) for t in x] for x in (target, docs)]
-    uni = [Counter(w for t in c for w in t) for c in corpora]
-    n = [sum(u.values()) for u in uni]
-    vocab = {w for w in uni[0] | uni[1] if uni[0][w] / max(1, n[0]) + uni[1][w] / max(1, n[1]) >= 2 * s.word_share}
-    coded = [[[w if w in vocab else None for w in t] for t in c] for c in corpora]
-    uni = [Counter(w for t in c for w in t) for c in coded]
-    bi = [Counter(p for t in c for p in zip(t, t[1:])) for c in coded]
-    nb = [max(1, sum(b.values())) for b in bi]
-    kept = {p for p in bi[0] | bi[1] if bi[0][p] / nb[0] + bi[1][p] / nb[1] >= 2 * s.bigram_share}
+def brute(target, background, docs, s, own):
+    """(tokens, target loss, background loss) of each text; own: each is taken out of the background."""
+    vocab = {w for c in (target, background) for t in c for w in words(t)}
+    counted = []
+    for c in (target, background):
+        coded = [words(t) for t in c]
+        counted.append((Counter(w for t in coded for w in t), Counter(p for t in coded for p in zip(t, t[1:])), sum(map(len, coded))))
     out = []
-    for t in coded[1]:
-        loss = [0.0, 0.0]
-        for k in (0, 1):
+    for t in map(words, docs):
+        mine, pairs, loss = Counter(t), Counter(zip(t, t[1:])), [0.0, 0.0]
+        for k, (uni, bi, n) in enumerate(counted):
+            off = k == 1 and own
             for j, w in enumerate(t):
-                p = (uni[k][w] + 1) / (n[k] + len(vocab) + 1)
+                p = (uni[w] - off * mine[w] + 1) / (n - off * len(t) + len(vocab) + 1)
                 if j:
                     v = t[j - 1]
-                    p = ((bi[k][v, w] if (v, w) in kept else 0) + s.prior * p) / (uni[k][v] + s.prior)
+                    p = (bi[v, w] - off * pairs[v, w] + s.prior * p) / (uni[v] - off * mine[v] + s.prior)
                 loss[k] -= math.log2(p)
         out.append((len(t), loss[0] / max(1, len(t)), loss[1] / max(1, len(t))))
     return out
 
 
-def test_against_brute_force(docs):
-    texts = ["the cat sat on the mat", None, "", "A dog Ran after the cat the cat", "x", "the " * 20000, "the cat sat on the mat"]
-    other = ["the cat the cat", "a mat", None]
-    df = docs(list(enumerate(texts)), k=["k"] * len(texts), n=["n"] * len(texts))
-    for s in (M.Settings(), M.Settings(word_share=0.01, bigram_share=0.01, flush=2)):
-        model = M.learn(docs(list(enumerate(other))), df, s)
-        got = {r.doc_id: r for r in M.score(df, model).collect()}
-        for i, (n, a, b) in enumerate(brute(other, texts, s)):
-            assert got[i].n_tokens == n and abs(got[i].target_loss - a) < 1e-9 and abs(got[i].background_loss - b) < 1e-9 and abs(got[i].score - (b - a)) < 1e-9
+def agree(got, want):
+    assert len(got) == len(want)
+    for r in got:
+        n, a, b = want[r.doc_id]
+        assert r.n_tokens == n and abs(r.target_loss - a) < 1e-9 and abs(r.background_loss - b) < 1e-9 and abs(r.score - (b - a)) < 1e-9
 
 
-def test_empty_tables(docs):
-    model = M.learn(docs([]), docs([]))
-    assert M.score(docs([]), model).count() == 0
-    assert M.score(docs([(1, "a b"), (2, None)]), model).count() == 2
-
-
-def test_rare_ngrams_of_a_large_corpus_are_kept(docs):
-    texts = ["the " * 1_200_000, "a rare pair here", None, "", "here a rare pair", "never seen the", "a rare pair here"]
-    other = ["a rare word", "the the"]
-    want = brute(other, texts, M.Settings(word_share=0.0, bigram_share=0.0))
-    df = docs(list(enumerate(texts))).repartition(3)
-    for chunk in (1_000_000, 1):
-        got = {r.doc_id: r for r in M.score(df, M.learn(docs(list(enumerate(other))), df, M.Settings(chunk=chunk))).collect()}
-        assert len(got) == len(texts)
-        for i, (n, a, b) in enumerate(want):
-            assert got[i].n_tokens == n and abs(got[i].target_loss - a) < 1e-9 and abs(got[i].background_loss - b) < 1e-9
+TEXTS = ["the cat sat on the mat", None, "", "A dog Ran after the cat the cat", "x", "the " * 20000, "the cat sat on the mat", "a rare pair here", "here a rare pair", "never seen the", "a rare pair here"]
+OTHER = ["the cat the cat", "a mat", None, "a rare word", "the the"]
+
+
+@pytest.mark.parametrize("chunk", [1_000_000, 7, 1])
+def test_against_brute_force(docs, chunk):
+    df = docs(list(enumerate(TEXTS)), k=["k"] * len(TEXTS), n=["n"] * len(TEXTS)).repartition(3)
+    s = M.Settings(chunk=chunk)
+    model = M.learn(docs(list(enumerate(OTHER))), df, s)
+    agree(M.score(model).collect(), brute(OTHER, TEXTS, TEXTS, s, True))
     # texts that the models have not counted
-    new = docs([(1, "the other pair"), (2, "rare rare")])
-    assert all(r.n_tokens > 0 and r.background_loss > 0 for r in M.score(new, M.learn(docs(list(enumerate(other))), df)).collect())
+    new = ["the other pair", "rare rare", None, "the cat sat"]
+    agree(M.score(model, docs(list(enumerate(new)))).collect(), brute(OTHER, TEXTS, new, s, False))
+
+
+def test_many_texts(docs):
+    r = random.Random(3)
+    texts = [" ".join(f"w{int(r.expovariate(0.05))}" for _ in range(r.randint(0, 40))) for _ in range(700)]
+    other = [" ".join(f"w{int(r.expovariate(0.2))}" for _ in range(9)) for _ in range(90)]
+    s = M.Settings(chunk=1500)
+    agree(M.score(M.learn(docs(list(enumerate(other))), docs(list(enumerate(texts))), s)).collect(), brute(other, texts, texts, s, True))
+
+
+def test_a_text_that_occurs_twice_is_familiar(docs):
+    r = random.Random(5)
+    texts = [" ".join(f"w{r.randint(0, 3000)}" for _ in range(60)) for _ in range(60)]
+    got = {x.doc_id: x.background_loss for x in M.score(M.learn(docs([(0, "w1 w2")]), docs(list(enumerate([*texts, texts[0]]))))).collect()}
+    assert max(got[0], got[60]) < min(v for i, v in got.items() if i not in (0, 60))
+
+
+def test_empty_tables_and_null_ids(docs):
+    model = M.learn(docs([]), docs([]))
+    assert M.score(model).count() == 0
+    assert M.score(model, docs([(1, "a b"), (2, None)])).count() == 2
+    got = M.score(M.learn(docs([]), docs([(None, "a b"), (3, "a b"), (3, "a b"), (None, None)]))).collect()
+    assert sorted((str(x.doc_id), x.n_tokens) for x in got) == [("3", 2), ("3", 2), ("None", 0), ("None", 2)]
