@@ -83,7 +83,7 @@ def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.find(read(spark, sf_dir, "documents"))
     counts = (F.size(F.filter("base", lambda x: x["k"] == 0)), F.size(F.filter("base", lambda x: x["k"] == 1)), F.size(F.filter("base", lambda x: x["k"] == 2)), F.size(F.filter("base", lambda x: x["k"] == 3)))
     named = (c.cast("long").alias(f"n_{kind}") for c, kind in zip(counts, pii.KINDS))
-    return found.select("doc_id", *named, F.sha2(pii.joined(F.col("base")), 256).alias("base_sha256"), pii.joined(F.col("spans")).alias("spans"))
+    return found.select("doc_id", *named, F.sha2(pii.joined(F.col("base")), 256).alias("base_sha256"), pii.joined(F.col("spans")).alias("spans"), F.size("spans").cast("long").alias("n_spans"))
 
 
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -103,7 +103,7 @@ def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = revisits.resolve(revisits.records_of_pages(read(spark, sf_dir, "pages")), bucket=10_000)
+    found = revisits.resolve(revisits.records_of_pages(read(spark, sf_dir, "pages")))
     shown = F.array_join(F.array_sort(F.transform(F.map_entries("headers"), lambda h: F.concat(h["key"], F.lit("="), h["value"]))), ";")
     return found.select("record_id", "url_key", "ts", "outcome", "refers_to", "refers_ts", "digest", "length", shown.alias("headers"))
 

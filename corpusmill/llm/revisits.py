@@ -4,16 +4,17 @@ Records are keyed by canonical URL. A revisit takes the latest full response of
 revisit's validators are checked against that response; and where they agree, the stored headers are updated with those
 headers of the revisit that a 304 may renew (RFC 9111, 3.2: not those that describe the stored body).
 
-The join is in two levels, so that a URL with a third of all captures is not one task: time is cut into buckets of
-``bucket`` units; within (URL, bucket) a window finds the latest earlier response; the last response of each bucket is
-carried over to later buckets in a second window that has one row per URL and bucket, not one per capture. Payloads are not
-moved: the result names the record that holds the body, with its digest and length.
+The join is in two levels, so that a URL with a third of all captures is not one task: the captures of a URL with many of
+them are cut at quantiles of their times into up to ``BUCKETS`` buckets of about equal size, however their times lie; within
+(URL, bucket) a window finds the latest earlier response; the last response of each bucket is carried over to later buckets
+in a second window that has one row per URL and bucket, not one per capture. Bodies are not moved: the result names the
+record that holds the body, with its digest and length.
 
 Outcomes: ``resolved``; ``mismatch`` (the validators differ: the body of that time is not held); ``unchecked`` (resolved,
 but neither side has a common validator); ``missing`` (no earlier full response).
 
-Defined cases: a null URL or time resolves to ``missing``; of responses at the same time the one with the largest
-record_id counts; repeated revisit rows each give a row; extra columns are ignored; empty tables give no rows.
+Defined cases: a revisit with a null URL or time is ``missing``, and a response with either is nobody's; of responses at the same time the one with the largest
+record_id counts; without headers on either side the other's stand; repeated revisit rows each give a row; extra columns are ignored; empty tables give no rows.
 """
 
 from __future__ import annotations
@@ -28,6 +29,10 @@ TRACKING = "^(utm_[a-z]+|ref|fbclid|gclid|sessionid)(=|$)"
 NOT_RENEWED = ("content-length", "content-encoding", "content-type", "content-range", "content-md5", "transfer-encoding", "connection", "keep-alive", "trailer", "upgrade", "te", "proxy-authenticate", "proxy-authorization")
 
 
+#: Buckets of a URL with many captures.
+BUCKETS = 256
+
+
 def canonical(url: Column) -> Column:
     """Host in lower case without default port, path without closing slash, sorted query without click parameters; no scheme, no fragment."""
     bare = F.regexp_replace(F.regexp_replace(url, "#.*$", ""), "^[A-Za-z][A-Za-z0-9+.-]*://", "")
@@ -43,37 +48,37 @@ def _weak(etag: Column) -> Column:
     return F.regexp_replace(etag, "^W/", "")
 
 
-def resolve(records: DataFrame, bucket: int) -> DataFrame:
+def resolve(records: DataFrame, many: int = 4_000) -> DataFrame:
     """Records: record_id, url, ts (long), kind (response or revisit), etag, last_modified, digest, length, headers (map, lower-case names).
 
-    Returns per revisit: record_id, url_key, ts, outcome, refers_to, refers_ts, digest, length, headers (map).
+    URLs with at least ``many`` captures are cut into buckets. Returns per revisit: record_id, url_key, ts, outcome,
+    refers_to, refers_ts, digest, length, headers (map).
     """
-    full = F.struct(
-        "ts",
-        "record_id",
-        F.col("etag"),
-        F.col("last_modified"),
-        F.col("digest"),
-        F.col("length"),
-        F.array_sort(F.map_entries("headers")).alias("headers"),
-    )
+    none = F.create_map().cast("map<string,string>")
     named = records.select(
         "record_id",
         "ts",
         "etag",
         "last_modified",
         "digest",
-        "headers",
+        F.coalesce("headers", none).alias("headers"),
         "length",
         (F.col("kind") == "revisit").alias("again"),
         canonical(F.col("url")).alias("key"),
-        F.floor(F.col("ts") / bucket).alias("bucket"),
-    ).withColumn("full", F.when(~F.col("again"), full))
+    )
+    full = F.struct("ts", "record_id", "etag", "last_modified", "digest", "length", F.array_sort(F.map_entries("headers")).alias("headers"))
+    placed = named.where("key is not null and ts is not null")
+    quantiles = [i / BUCKETS for i in range(1, BUCKETS)]
+    cuts = placed.groupBy("key").agg(F.count("*").alias("captures"), F.percentile_approx("ts", quantiles).alias("cuts")).where(F.col("captures") >= many).select("key", F.array_distinct("cuts").alias("cuts"))
+    bucket = F.coalesce(F.size(F.filter("cuts", lambda c: c < F.col("ts"))), F.lit(0))
+    placed = placed.join(cuts, "key", "left").withColumn("bucket", F.when(F.col("cuts").isNull(), 0).otherwise(bucket)).drop("cuts").withColumn("full", F.when(~F.col("again"), full))
     near = Window.partitionBy("key", "bucket").orderBy("ts").rangeBetween(Window.unboundedPreceding, -1)
-    inside = named.withColumn("near", F.max("full").over(near)).where("again")
-    lasts = named.groupBy("key", "bucket").agg(F.max("full").alias("last"))
+    inside = placed.withColumn("near", F.max("full").over(near)).where("again")
+    lasts = placed.groupBy("key", "bucket").agg(F.max("full").alias("last"))
     carried = lasts.select(F.col("key").alias("_key"), F.col("bucket").alias("_bucket"), F.max("last").over(Window.partitionBy("key").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)).alias("far"))
     found = inside.join(carried, (F.col("key") == F.col("_key")) & (F.col("bucket") == F.col("_bucket")), "left").withColumn("hit", F.coalesce("near", "far"))
+    unplaced = named.where("again and (key is null or ts is null)")
+    found = found.unionByName(unplaced, allowMissingColumns=True)
     checks = F.coalesce(_weak(F.col("etag")) == _weak(F.col("hit.etag")), F.col("last_modified") == F.col("hit.last_modified"), F.col("digest") == F.col("hit.digest"))
     outcome = F.when(F.col("hit").isNull(), "missing").when(checks.isNull(), "unchecked").when(checks, "resolved").otherwise("mismatch")
     renewed = F.map_filter("headers", lambda k, v: ~k.isin(*NOT_RENEWED))

@@ -1,3 +1,5 @@
+import random
+
 from pyspark.sql import functions as F
 
 from corpusmill.llm import license_scan as S
@@ -51,13 +53,32 @@ def test_revisits(spark):
         ("r7", None, 7000, "revisit", None, None, None, None, {}),
         ("r8", "http://b.org/", None, "revisit", None, None, None, None, {}),
         ("r1", "http://a.org/x?a=1&b=2", 11, "revisit", "W/1", None, None, None, {"server": "t", "content-length": "0"}),
+        # responses without a URL or a time are nobody's
+        ("f4", None, 6000, "response", "1", None, "d4", 6, h),
+        ("f5", "http://b.org/", None, "response", "1", None, "d5", 5, h),
+        ("f6", None, None, "response", "1", None, "d6", 4, h),
+        ("r9", "http://b.org/", 50, "revisit", "1", None, None, None, {}),
+        ("r91", None, None, "revisit", "1", None, None, None, {}),
     ]
-    for width in (1, 100, 10**9):
-        got = sorted((r.record_id, r.outcome, r.refers_to) for r in R.resolve(records(spark, rows), width).collect())
-        assert got == [("r1", "resolved", "f1"), ("r1", "resolved", "f1"), ("r2", "missing", None), ("r3", "resolved", "f3"), ("r4", "mismatch", None), ("r5", "mismatch", None), ("r6", "unchecked", "f3"), ("r7", "missing", None), ("r8", "missing", None)]
-    one = R.resolve(records(spark, rows), 100).where("record_id = 'r1'").first()
+    for many in (1, 4, 10**9):
+        got = sorted((r.record_id, r.outcome, r.refers_to) for r in R.resolve(records(spark, rows), many).collect())
+        assert got == [("r1", "resolved", "f1"), ("r1", "resolved", "f1"), ("r2", "missing", None), ("r3", "resolved", "f3"), ("r4", "mismatch", None), ("r5", "mismatch", None), ("r6", "unchecked", "f3"), ("r7", "missing", None), ("r8", "missing", None), ("r9", "missing", None), ("r91", "missing", None)]
+    one = R.resolve(records(spark, rows)).where("record_id = 'r1'").first()
     assert one.headers == {"etag": "1", "content-length": "9", "server": "t"} and one.digest == "d1" and one.url_key == "a.org/x?a=1&b=2"
-    assert R.resolve(records(spark, rows).limit(0), 100).count() == 0
+    assert R.resolve(records(spark, rows).limit(0)).count() == 0
+
+
+def test_a_url_of_many_captures(spark):
+    """Buckets at quantiles give what a scan by time gives, also where most captures share a time."""
+    r = random.Random(8)
+    rows = []
+    for i in range(2500):
+        ts = 7 if r.random() < 0.3 else r.randrange(1000) if r.random() < 0.5 else r.randrange(10**9)
+        rows.append((f"c{i:05}", "http://hot.org/", ts, "response" if r.random() < 0.4 else "revisit", None, None, f"d{i}", 1, {}))
+    full = sorted((ts, i) for i, _, ts, kind, *_ in rows if kind == "response")
+    want = {i: max((x for x in full if x[0] < ts), default=(None, None))[1] for i, _, ts, kind, *_ in rows if kind == "revisit"}
+    found = R.resolve(records(spark, [(*x[:6], None, *x[7:]) if x[3] == "revisit" else x for x in rows]), 100)
+    assert {x.record_id: x.refers_to for x in found.collect()} == want
 
 
 def test_records_of_pages(spark):
