@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import os
 import uuid
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -66,9 +68,20 @@ def ascii_lower(col: Column) -> Column:
 
 
 def map_arrow(df: DataFrame, function, schema) -> DataFrame:
-    """mapInArrow, with this package on the executors."""
+    """mapInArrow, with this package on the executors. A worker that waits for its next task gives back what it does not hold."""
     ship_code(df.sparkSession)
-    return df.mapInArrow(function, schema)
+
+    def run(batches):
+        yield from function(batches)
+        pa.default_memory_pool().release_unused()
+
+    return df.mapInArrow(run, schema)
+
+
+def values_of(column: pa.Array, some: int = 500) -> Iterator:
+    """The values of a column, made a few at a time: texts of a whole batch would be held twice."""
+    for lo in range(0, len(column), some):
+        yield from column.slice(lo, some).to_pylist()
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:

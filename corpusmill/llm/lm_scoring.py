@@ -53,7 +53,7 @@ class Model:
 class Words:
     """64-bit hashes (even) of white-space words, A-Z lower-cased, remembered up to a bounded number."""
 
-    def __init__(self, most: int = 600_000):
+    def __init__(self, most: int = 200_000):
         import xxhash
 
         self.known, self.most, self.of_word = {}, most, xxhash.xxh3_64_intdigest
@@ -103,10 +103,10 @@ def chunked(texts: DataFrame, most: int) -> DataFrame:
             return pa.RecordBatch.from_arrays(cols, names=["chunk", "tokens", "ids", "sizes", "words", "codes"])
 
         for batch in batches:
-            ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for lo in range(0, len(texts), 200):
-                hashes, sizes = words(texts[lo : lo + 200])
-                held.append((ids[lo : lo + 200], hashes, sizes))
+            for lo in range(0, len(batch), 200):
+                ids, texts = (c.slice(lo, 200).to_pylist() for c in batch.columns)
+                hashes, sizes = words(texts)
+                held.append((ids, hashes, sizes))
                 tokens, rows = tokens + len(hashes), rows + len(sizes)
                 if tokens >= most or rows >= most:
                     yield row()

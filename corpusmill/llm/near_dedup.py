@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOWER_TABLE, discard, map_arrow, ship_code, written
+from .common import LOWER_TABLE, discard, map_arrow, ship_code, values_of, written
 from .components import components
 
 
@@ -57,7 +57,7 @@ class Settings:
 class Shingler:
     """64-bit hashes of a text's distinct word shingles, sorted. Word hashes are remembered, up to a bounded number."""
 
-    def __init__(self, words: int, most: int = 600_000):
+    def __init__(self, words: int, most: int = 200_000):
         import xxhash
 
         self.words, self.most, self.known = words, most, {}
@@ -122,7 +122,7 @@ def signatures(docs: DataFrame, s: Settings) -> DataFrame:
         factors = rng.integers(1, 1 << 63, (s.coordinates, s.fold), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
         for batch in batches:
             keys, sizes, values, held = [], [], [], []
-            for text in batch.column(3).to_pylist():
+            for text in values_of(batch.column(3)):
                 u = shingles(text)
                 keys.append(shingles.key(u))
                 sizes.append(len(u))
@@ -292,7 +292,7 @@ def confirmed(pairs: DataFrame, texts: DataFrame, s: Settings) -> DataFrame:
         for batch in batches:
             kept = []
             last, x = None, None
-            for ta, tb in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
+            for ta, tb in zip(values_of(batch.column(2)), values_of(batch.column(3))):
                 if tb != last:
                     last, x = tb, shingles(tb)
                 y = shingles(ta)
@@ -324,7 +324,7 @@ def texts_of(nodes: DataFrame, classes: DataFrame, docs: DataFrame, s: Settings)
         shingles, given = Shingler(s.shingle_words), set()
         for batch in batches:
             kept = []
-            for node, key, text in zip(*(c.to_pylist() for c in batch.columns)):
+            for node, key, text in zip(*map(values_of, batch.columns)):
                 kept.append(node not in given and shingles.key(shingles(text)) == key)
                 if kept[-1]:
                     given.add(node)

@@ -44,7 +44,7 @@ class WordCache:
     The memory is bounded: beyond ``most`` distinct words it starts afresh.
     """
 
-    def __init__(self, path: str, most: int = 1_000_000):
+    def __init__(self, path: str, most: int = 400_000):
         from tokenizers import Tokenizer
         from tokenizers.pre_tokenizers import ByteLevel
 
@@ -168,8 +168,8 @@ def pack(docs: DataFrame, tokenizer_path: str, width: int = 4096, end_id: int =
 
         for batch in batches:
             ids_of, texts = batch.column(0).to_pylist(), batch.column(1)
-            for lo in range(0, len(texts), 4000):
-                for doc, ids in zip(ids_of[lo : lo + 4000], words.encode(texts.slice(lo, 4000)), strict=True):
+            for lo in range(0, len(texts), 2000):
+                for doc, ids in zip(ids_of[lo : lo + 2000], words.encode(texts.slice(lo, 2000)), strict=True):
                     ids = np.append(ids, np.uint32(end_id))
                     waiting.append((doc, ids))
                     held += len(ids)
