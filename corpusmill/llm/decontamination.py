@@ -9,13 +9,14 @@ not all present is passed over; for the others the posting list of the rarest te
 the window, is intersected with the next rarer ones in turn. What is left are the exact phrase matches. Proximity matches
 need all terms within ``slop`` words more than the window's length, in any order.
 
-The benchmark travels to the tasks in blocks of at most ``block_windows`` windows, so what is sent has a fixed bound.
+The benchmark travels to the tasks in blocks of about ``block_windows`` windows, so what is sent has a fixed bound; an item
+of more words than that is cut, and neighbouring pieces share the words of the windows between them.
 
 Terms are 64-bit hashes (odds of any clash among a million benchmark and a billion training terms: under 1e-4, and ten
 in a row must clash to matter).
 
-Defined cases: null texts have no words and are not contaminated; an item without words has no window; repeated rows are
-judged each on its own; an empty benchmark leaves all documents clean; extra columns are ignored. A document longer than a
+Defined cases: null texts have no words and are not contaminated; an item without words has no window; the windows of an
+item without an id hit words as any others do, but name no item; repeated rows are judged each on its own; an empty benchmark leaves all documents clean; extra columns are ignored. A document longer than a
 shard is a shard of its own.
 """
 
@@ -30,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_arrow, written
+from .common import ascii_lower, let, map_arrow, values_of, written
 
 #: Bytes of words stay (a-z, 0-9, all beyond ASCII), A-Z are lower-cased, all others become a space.
 WORD_TABLE = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b > 127 else 32 for b in range(256))
@@ -41,7 +42,7 @@ FOUND_SCHEMA = "doc_id bigint, n_words bigint, starts array<bigint>, stops array
 class Terms:
     """64-bit hashes of a text's words, remembered up to a bounded number."""
 
-    def __init__(self, most: int = 600_000):
+    def __init__(self, most: int = 200_000):
         import xxhash
 
         self.known, self.most, self.of_word = {}, most, xxhash.xxh3_64_intdigest
@@ -79,7 +80,7 @@ def build_index(docs: DataFrame, shard_tokens: int = 1 << 20) -> DataFrame:
             return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(row, types)], names=[x.split()[0] for x in INDEX_SCHEMA.split(", ")])
 
         for batch in batches:
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            for doc, text in zip(*map(values_of, batch.columns)):
                 t = terms_of(text)
                 ids.append(doc)
                 parts.append(t)
@@ -163,7 +164,7 @@ def search_shard(row: dict, block: Windows, slop: int | None) -> Iterator[tuple]
     none = ([], [], (), ())
     for d, (doc, a, b) in enumerate(zip(row["doc_ids"], begins.tolist(), ends.tolist())):
         starts, stops, items, near = found.get(d, none)
-        yield doc, b - a, starts, stops, sorted(items), sorted(near), row["shard"], d
+        yield doc, b - a, starts, stops, sorted(x for x in items if x is not None), sorted(x for x in near if x is not None), row["shard"], d
 
 
 def _near(rarest: np.ndarray, lists: list[np.ndarray], reach: int, begins: np.ndarray, ends: np.ndarray) -> list[int]:
@@ -188,24 +189,33 @@ def _near(rarest: np.ndarray, lists: list[np.ndarray], reach: int, begins: np.nd
     return sorted(out)
 
 
+def pieces(benchmark: DataFrame, width: int, most: int) -> DataFrame:
+    """(item_id, text) of the items, those of possibly more than ``most`` words cut into pieces of as many windows."""
+    words = F.filter(F.split(ascii_lower(F.col("text")), r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"), lambda w: w != "")
+    starts = lambda w: F.sequence(F.lit(0), F.greatest(F.lit(0), F.floor((F.size(w) - width) / most)).cast("int"))
+    cut = let(words, lambda w: F.transform(starts(w), lambda j: F.array_join(F.slice(w, j * most + 1, most + width - 1), " ")))
+    named = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.coalesce("text", F.lit("")).alias("text"))
+    return named.select("item_id", F.explode(F.when(F.length("text") > 2 * most, cut).otherwise(F.array("text"))).alias("text"))
+
+
 def search(index: DataFrame, benchmark: DataFrame, width: int = 10, slop: int | None = None, block_windows: int = 500_000) -> DataFrame:
     """One row per document: its matched windows (starts, stops, in words), the items that own them, and the items with a proximity match."""
     spark = index.sparkSession
-    named = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").where("item_id is not null")
+    named = pieces(benchmark, width, block_windows)
     # a text of n characters has at most n // 2 + 1 words: the bound of a block is known before any is collected
-    sizes = named.select("item_id", (F.length(F.coalesce("text", F.lit(""))) / 2 + 1).cast("long").alias("n"))
+    sizes = named.select((F.length("text") / 2 + 1).cast("long").alias("n"))
     total = sizes.agg(F.sum("n")).first()[0] or 0
     n_blocks = max(1, -(-total // block_windows))
     found = None
     for i in range(n_blocks):
-        mine = named if n_blocks == 1 else named.where(F.pmod(F.xxhash64("item_id"), F.lit(n_blocks)) == i)
+        mine = named if n_blocks == 1 else named.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n_blocks)) == i)
         sent = spark.sparkContext.broadcast(windows_of([tuple(r) for r in mine.collect()], width))
 
         def searched(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
             types = [pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.int64(), pa.int64()]
             for batch in batches:
-                for row in batch.to_pylist():
-                    cols = list(zip(*search_shard(row, sent.value, slop)))
+                for k in range(len(batch)):
+                    cols = list(zip(*search_shard(batch.slice(k, 1).to_pylist()[0], sent.value, slop)))
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], names=[x.split()[0] for x in FOUND_SCHEMA.split(", ")])
 
         part = map_arrow(index, searched, FOUND_SCHEMA)

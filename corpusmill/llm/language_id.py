@@ -7,9 +7,15 @@ entropy, and the language with the lowest wins.
 
 Sample: per language at most ``sample_docs`` labelled documents (those with the smallest hashes of doc_id) and of their
 joined texts at most ``sample_chars`` characters. This bound is a parameter and holds for fitting alone. Prediction reads
-whole texts: normalised (lower case; anything but letters becomes one space) and parsed in segments of ``segment``
-characters, so that all segments of a batch step through the automaton together; a phrase ends with its segment, in every
-language alike.
+whole texts, normalised: lower case, anything but letters becomes one space.
+
+All segments (``segment`` characters) of a batch step through the automaton together, each from the start state. Phrases do
+not end with their segment: then each segment is walked again from the state in which the one before it ended, until it
+stands where the first walk stood at the same place, from where both are one; a segment whose end changed so is carried on
+into the next. The counts are those of one walk over the whole text.
+
+Every letter of the samples has a symbol. The most frequent ones have a column in a dense table, as many as fit all
+languages' tables into ``table_bytes``; transitions by the others are looked up in a sorted list.
 
 Defined cases: null texts and texts without a letter are ``und`` with score 0; without any labelled text every text is
 ``und``; null labels are not learned; repeated rows are predicted each on its own; extra columns are ignored.
@@ -33,13 +39,16 @@ class Settings:
     sample_docs: int = 48
     sample_chars: int = 40_000
     segment: int = 512
-    #: Characters of all samples together that get a symbol of their own; the rest is unknown to every automaton.
-    alphabet: int = 250
+    #: Of the dense tables of all languages together.
+    table_bytes: int = 64_000_000
 
 
-#: Code points below this are looked up in a table of symbols, others are unknown letters.
+#: Code points below this are looked up in a table of symbols, others in a dictionary.
 TABLE = 1 << 16
 
+#: Places of each segment at which the first walk's state is kept, for the second to meet it.
+KEPT = 64
+
 
 def normalised(text: str) -> str:
     return " ".join("".join(c if c.isalpha() else " " for c in text.lower()).split())
@@ -74,13 +83,39 @@ def suffix_automaton(text: str) -> list[dict[str, int]]:
     return nexts
 
 
+@dataclass
+class Automaton:
+    """Steps are 4 * (next state * width) + phrases that end in this step."""
+
+    #: At [state * width + symbol], for symbols below width.
+    dense: np.ndarray
+    #: state * width * symbols + symbol of the transitions by other symbols, sorted, and their steps; by symbol the start's way, 0 if none.
+    keys: np.ndarray
+    steps: np.ndarray
+    starts: np.ndarray
+
+    def step(self, state: np.ndarray, symbol: np.ndarray, width: int, rare: bool) -> np.ndarray:
+        """state: state * width."""
+        if not rare:
+            return self.dense[state + symbol]
+        out = self.dense[state + np.where(symbol < width, symbol, 1)]
+        at = np.flatnonzero(symbol >= width)
+        s, c = state[at].astype(np.int64), symbol[at]
+        where = np.minimum(np.searchsorted(self.keys, s * len(self.starts) + c), max(0, len(self.keys) - 1))
+        known = self.keys[where] == s * len(self.starts) + c if len(self.keys) else np.zeros(len(at), bool)
+        # no way on: the phrase ends here and the next begins with this character, itself a phrase where it is unknown
+        anew = np.where(self.starts[c] > 0, self.starts[c], 1) + (s > 0)
+        out[at] = np.where(known, self.steps[where] if len(self.keys) else 0, anew)
+        return out
+
+
 @dataclass
 class Model:
     langs: list[str]
-    #: Symbol of each code point below TABLE: 0 fills up, 1 unknown, 2 space, then the alphabet's letters; -1: no letter.
+    #: Symbol of each code point below TABLE, and of further ones: 1 unknown, 2 space, then letters; -1: no letter.
     symbols: np.ndarray
-    #: Per language, at [state * width + symbol]: 4 * (next state * width) + phrases that end in this step.
-    steps: list[np.ndarray]
+    further: dict[int, int]
+    automata: list[Automaton]
     bits: np.ndarray
     width: int
     segment: int
@@ -93,39 +128,43 @@ def fit(samples: dict[str, str], s: Settings) -> Model:
         for c in t:
             counts[c] = counts.get(c, 0) + 1
     counts.pop(" ", None)
-    chars = [" "] + sorted(counts, key=lambda c: (-counts[c], c))[: s.alphabet]
-    width = len(chars) + 2
-    symbols = np.full(TABLE, -1, np.int16)
+    chars = [" ", *sorted(counts, key=lambda c: (-counts[c], c))]
+    at = {c: i + 2 for i, c in enumerate(chars)}
+    symbols = np.full(TABLE, -1, np.int32)
     for cp in range(TABLE):
         low = chr(cp).lower()
         if len(low) == 1 and low.isalpha() or chr(cp).isalpha():
-            symbols[cp] = chars.index(low) + 2 if low in counts and low in chars else 1
-    steps = []
+            symbols[cp] = at.get(low, 1)
     langs = sorted(samples)
-    for lang in langs:
-        nexts = suffix_automaton(samples[lang])
-        root = {c: n for c, n in nexts[0].items()}
-        at = {c: i + 2 for i, c in enumerate(chars)}
-        # no way on: the phrase ends here and the next begins with this character (itself a phrase where it is unknown)
+    ways = [suffix_automaton(samples[lang]) for lang in langs]
+    width = max(4, min(len(chars) + 2, s.table_bytes // (4 * max(1, sum(map(len, ways))))))
+    automata = []
+    for nexts in ways:
+        root = nexts[0]
         restart = np.array([0, 1] + [4 * root[c] * width if c in root else 1 for c in chars], np.int64)
-        table = np.tile(restart + 1, (len(nexts), 1))
-        table[0] = restart
-        for state, ways in enumerate(nexts):
-            for c, n in ways.items():
-                if c in at:
+        table = np.tile(restart[:width] + 1, (len(nexts), 1))
+        table[0] = restart[:width]
+        rare: dict[int, int] = {}
+        for state, of_state in enumerate(nexts):
+            for c, n in of_state.items():
+                if at[c] < width:
                     table[state, at[c]] = 4 * n * width
-        table[:, 0] = 4 * width * np.arange(len(nexts))
-        steps.append(table.ravel().astype(np.int32 if table.max() < 1 << 31 else np.int64))
-    return Model(langs, symbols, steps, np.array([np.log2(max(2, len(samples[x]))) for x in langs]), width, s.segment)
+                else:
+                    rare[state * width * len(restart) + at[c]] = 4 * n * width
+        kind = np.int32 if 4 * len(nexts) * width + 4 < 1 << 31 else np.int64
+        keys = np.array(sorted(rare), np.int64)
+        automata.append(Automaton(table.ravel().astype(kind), keys, np.array([rare[k] for k in keys.tolist()], kind), np.where(restart % 4 == 0, restart, 0).astype(kind)))
+    return Model(langs, symbols, {ord(c): i for c, i in at.items() if ord(c) >= TABLE}, automata, np.array([np.log2(max(2, len(samples[x]))) for x in langs]), width, s.segment)
 
 
 def symbols_of(text: str, m: Model) -> np.ndarray:
     """The text's symbols, runs of non-letters as one space, none at the ends; empty without a letter."""
     points = np.frombuffer(text.encode("utf-32-le", "replace"), np.uint32)
     sym = m.symbols[np.minimum(points, TABLE - 1)]
-    if len(points) and points.max() >= TABLE - 1:
-        for i in np.flatnonzero(points >= TABLE - 1):
-            sym[i] = 1 if chr(points[i]).isalpha() else -1
+    if len(points) and points.max() >= TABLE:
+        for i in np.flatnonzero(points >= TABLE):
+            c = chr(points[i])
+            sym[i] = m.further.get(ord(c.lower()) if len(c.lower()) == 1 else points[i], 1) if c.isalpha() else -1
     gap = sym < 0
     keep = ~gap
     if not keep.any():
@@ -146,26 +185,67 @@ def phrases(texts: list[np.ndarray], m: Model) -> np.ndarray:
     for t, n in zip(texts, per.tolist()):
         flat[row * m.segment : row * m.segment + len(t)] = t
         row += n
+    number = np.arange(len(owner)) - (np.cumsum(per) - per)[owner]
+    lengths = np.minimum(m.segment, sizes[owner] - m.segment * number)
     # the longest segments first: those at their end drop off the lockstep from behind
-    lengths = np.minimum(m.segment, sizes[owner] - m.segment * (np.arange(len(owner)) - (np.cumsum(per) - per)[owner]))
     order = np.argsort(-lengths, kind="stable")
-    grid = np.ascontiguousarray(grid[order].T)
-    live = np.searchsorted(-lengths[order], -np.arange(m.segment), side="left")
+    place = np.empty_like(order)
+    place[order] = np.arange(len(order))
+    grid, lengths, owner = np.ascontiguousarray(grid[order].T), lengths[order], owner[order]
+    rare = (grid >= m.width).any(axis=1)
+    live = np.searchsorted(-lengths, -np.arange(m.segment), side="left")
+    before = np.where(number > 0, place[np.arange(len(order)) - 1], -1)[order] if len(order) else order
+    after = np.full(len(order), -1)
+    after[before[before >= 0]] = np.flatnonzero(before >= 0)
     out = np.zeros((len(texts), len(m.langs)), np.int64)
-    for k, steps in enumerate(m.steps):
-        state, count = np.zeros(len(owner), steps.dtype), np.zeros(len(owner), np.int32)
-        for i in range(m.segment):
-            n = live[i]
-            if not n:
-                break
-            step = steps[state[:n] + grid[i, :n]]
-            count[:n] += step & 3
-            state[:n] = step >> 2
-        count += state > 0
-        out[:, k] = np.bincount(owner[order], weights=count, minlength=len(texts)).astype(np.int64)
+    for k, automaton in enumerate(m.automata):
+        end, count = _parsed(automaton, grid, lengths, live, rare, before, after, m.width)
+        count = count + (end > 0) * (after < 0)  # a text's last phrase ends with it
+        out[:, k] = np.bincount(owner, weights=count, minlength=len(texts)).astype(np.int64)
     return out
 
 
+def _parsed(automaton: Automaton, grid: np.ndarray, lengths: np.ndarray, live: np.ndarray, rare: np.ndarray, before: np.ndarray, after: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """The state in which each segment (a column of grid) ends, and the phrases that end in it."""
+    rows = grid.shape[1]
+    state, count = np.zeros(rows, automaton.dense.dtype), np.zeros(rows, np.int32)
+    kept = min(KEPT, len(grid))
+    states, counts = np.zeros((kept, rows), state.dtype), np.zeros((kept, rows), np.int32)
+    for i, n in enumerate(live.tolist()):
+        if not n:
+            break
+        step = automaton.step(state[:n], grid[i, :n], width, rare[i])
+        count[:n] += step & 3
+        state[:n] = step >> 2
+        if i < kept:
+            states[i, :n], counts[i, :n] = state[:n], count[:n]
+    end, total = state.copy(), count.copy()
+    todo = np.flatnonzero(before >= 0)
+    todo = todo[end[before[todo]] > 0]
+    while len(todo):
+        ended, at, s = end[todo].copy(), todo, end[before[todo]]
+        c = np.zeros(len(at), np.int32)
+        for i in range(len(grid)):
+            over = lengths[at] <= i
+            if i and i <= kept:
+                met = ~over & (s == states[i - 1, at])
+                end[at[met]], total[at[met]] = state[at[met]], c[met] + count[at[met]] - counts[i - 1, at[met]]
+            else:
+                met = np.zeros(len(at), bool)
+            end[at[over]], total[at[over]] = s[over], c[over]
+            on = ~(over | met)
+            at, s, c = at[on], s[on], c[on]
+            if not len(at):
+                break
+            step = automaton.step(s, grid[i, at], width, rare[i])
+            c += step & 3
+            s = step >> 2
+        end[at], total[at] = s, c
+        changed = todo[end[todo] != ended]
+        todo = np.sort(after[changed][after[changed] >= 0])
+    return end, total
+
+
 def learn(labelled: DataFrame, s: Settings = Settings()) -> Model:
     """labelled: doc_id, text, lang. Only the bounded sample of each language reaches the driver."""
     from pyspark.sql import Window

@@ -23,12 +23,13 @@ def brute(rows, items):
                 if o := owners.get(tuple(w[k : k + n])):
                     hit |= set(range(k, k + n))
                     found |= o
+        found.discard(None)
         sha = hashlib.sha256(",".join(sorted(map(str, found))).encode()).hexdigest()
         out.append((i, len(w), len(hit), len(found), sha, bool(hit)))
     return sorted(out, key=str)
 
 
-ITEMS = [(1, "The quick brown fox jumps over the lazy dog again and again, until night."), (2, "Short one"), (3, None), (4, "..."), (10, "The quick brown fox jumps over the lazy dog again and other ends")]
+ITEMS = [(1, "The quick brown fox jumps over the lazy dog again and again, until night."), (2, "Short one"), (3, None), (4, "..."), (10, "The quick brown fox jumps over the lazy dog again and other ends"), (None, "short two")]
 TEXTS = [None, "", "a THE QUICK brown-fox jumps over the lazy dog again and", "quick brown fox jumps over the lazy dog again", "short, one short one", "short two", "été " * 30000, "the quick brown fox jumps over the lazy dog again and again until night the quick brown fox jumps over the lazy dog again and again"]
 
 
@@ -44,6 +45,18 @@ def test_against_brute_force(spark, docs):
         assert got == brute(rows, ITEMS)
 
 
+def test_a_long_item_is_cut_into_pieces(spark, docs):
+    """Its windows are the same, whatever the size of a block; also those between two pieces."""
+    long = " ".join(f"w{i % 37}" for i in range(400))
+    items = [*ITEMS, (7, long), (8, " ".join(f"v{i}" for i in range(10)))]
+    rows = [(1, " ".join(long.split()[5 * k : 5 * k + 12])) for k in range(70)] + [(2, "v0 v1 v2 v3 v4 v5 v6 v7 v8 v9"), (3, TEXTS[-1])]
+    for windows in (100, 500_000):
+        got = found(spark, docs, rows, items=items, block_windows=windows)
+        assert sorted(((r.doc_id, r.n_words, r.n_hit, r.n_items, r.items_sha256, r.contaminated) for r in got), key=str) == brute(rows, items)
+    cut = D.pieces(spark.createDataFrame(items, "item_id long, text string"), 10, 7).collect()
+    assert sum(r.item_id == 7 for r in cut) == 56
+
+
 def test_proximity_and_empty_tables(spark, docs):
     rows = [(1, "one really short"), (2, "one very very long way from short")]
     got = {r.doc_id: (r.n_items, r.n_near_items) for r in found(spark, docs, rows, slop=1)}

@@ -1,32 +1,47 @@
 import random
 
+import pytest
+
 from corpusmill.llm import language_id as L
 
 SAMPLE = {"x": "the cat sat on the mat and the dog ran", "y": "le chat est sur la table et le chien court"}
 
 
-def brute(n, sample, size):
-    c = 0
-    for lo in range(0, len(n), size):
-        seg, i = n[lo : lo + size], 0
-        while i < len(seg):
-            j = i + 1
-            while j <= len(seg) and seg[i:j] in sample:
-                j += 1
-            c += 1
-            i = max(i + 1, j - 1)
+def brute(n, sample):
+    c = i = 0
+    while i < len(n):
+        j = i + 1
+        while j <= len(n) and n[i:j] in sample:
+            j += 1
+        c += 1
+        i = max(i + 1, j - 1)
     return c
 
 
-def test_phrases_against_brute_force():
-    r = random.Random(3)
-    for _ in range(60):
-        sample = {k: L.normalised("".join(r.choice(a) for _ in range(r.randint(3, 80)))) for k, a in (("x", "abcd é"), ("y", "abe ñ"))}
+@pytest.mark.parametrize("segment,table_bytes,kept", [(16, 10**6, 64), (16, 10**6, 4), (3, 1, 2), (512, 1, 64), (1, 2000, 1), (16, 1500, 8)])
+def test_phrases_against_brute_force(monkeypatch, segment, table_bytes, kept):
+    """Segments change nothing, nor does it matter which letters have a column."""
+    monkeypatch.setattr(L, "KEPT", kept)
+    r = random.Random(segment + kept)
+    for n in range(60):
+        alphabets = (("x", "abcd é漢字𠀀𠀁"), ("y", "abe ñ語漢"), ("z", "ab"))
+        sample = {k: L.normalised("".join(r.choice(a) for _ in range(r.randint(3, 80)))) for k, a in alphabets}
         sample = {k: v for k, v in sample.items() if v}
-        m = L.fit(sample, L.Settings(segment=16))
-        texts = ["".join(r.choice("abcdé ñZ-1😀") for _ in range(r.randint(0, 90))) for _ in range(5)]
+        m = L.fit(sample, L.Settings(segment=segment, table_bytes=table_bytes))
+        texts = ["".join(r.choice("ab" if n % 3 == 0 else "abcdé ñZ-1😀漢字語𠀀𠀂") for _ in range(r.randint(0, 150))) for _ in range(5)]
         got = L.phrases([L.symbols_of(t, m) for t in texts], m)
-        assert [[brute(L.normalised(t), sample[k], 16) for k in m.langs] for t in texts] == got.tolist()
+        assert [[brute(L.normalised(t), sample[k]) for k in m.langs] for t in texts] == got.tolist()
+
+
+def test_many_letters(docs):
+    """Languages of more letters than the dense table has columns are told apart."""
+    r = random.Random(2)
+    words = {k: ["".join(chr(0x4E00 + r.randrange(4000)) for _ in range(2)) for _ in range(300)] for k in "xy"}
+    text = lambda k, n: " ".join(r.choice(words[k]) for _ in range(n))
+    m = L.fit({k: text(k, 4000) for k in "xy"}, L.Settings(table_bytes=100_000))
+    assert m.width < 20
+    got = L.predict(docs([(i, text("xy"[i % 2], 8)) for i in range(60)]), m).collect()
+    assert all(x.lang_pred == "xy"[x.doc_id % 2] for x in got)
 
 
 def test_defined_cases(spark, docs):
