@@ -10,10 +10,11 @@ A document that is itself part of the background is left out of it: its own coun
 else every text would look familiar to a model that has seen it.
 
 The models grow with the corpora, so they are never gathered or broadcast. A corpus is cut into chunks of a bounded number
-of tokens, each of which sends its distinct words and bigrams with their counts once, by n-gram. These rows are the counts
-and the questions at the same time: a window over each n-gram adds up its counts, and only n-grams that other chunks or the
-target hold too go back to the chunk that asked. What has no answer occurs nowhere else. N-grams are known by 64-bit
-hashes, even for words and odd for bigrams. A frequent n-gram has one row for each chunk, which a window reads in turn.
+of tokens, each of which sends its distinct words and bigrams with their counts once. They are the counts and the questions
+at the same time. N-grams are known by 64-bit hashes, even for words and odd for bigrams; ranges of hashes are buckets, as
+many as make each hold about ``bucket`` tokens' n-grams, and a chunk's n-grams of one bucket are one packed row (sorted
+hashes as differences, compressed). A bucket adds up the counts of its n-grams over all chunks and returns the sums in the
+order in which they were asked, so hashes travel one way only. A frequent n-gram is one entry for each chunk.
 
 Defined cases: a text without words scores 0.0 with no token; an empty corpus leaves a model that knows only smoothing;
 repeated rows count and are scored each on its own; null doc_ids stay null; extra columns are ignored.
@@ -26,7 +27,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import LOWER_TABLE, map_arrow, written
@@ -37,6 +38,8 @@ class Settings:
     prior: float = 50.0
     #: Tokens, and documents, after which a chunk ends.
     chunk: int = 2_000_000
+    #: Tokens of both corpora for each bucket of n-grams.
+    bucket: int = 1_000_000
 
 
 @dataclass
@@ -44,9 +47,8 @@ class Model:
     #: Chunks of the corpora that the two models count.
     target: DataFrame
     background: DataFrame
-    #: Tokens of target and background; words that either holds.
+    #: Tokens of target and background.
     totals: tuple[int, int]
-    size: int
     settings: Settings
 
 
@@ -129,40 +131,83 @@ class Chunk:
         self.follows = followers(self.sizes, n)
         pairs, self.at = np.unique((self.codes[:-1] * width + self.codes[1:])[self.follows[1:]], return_inverse=True)
         self.keys = np.concatenate([self.words, pair_hash(*(self.words[x] for x in divmod(pairs, width)))])
-        self.counts = np.concatenate([np.bincount(self.codes, minlength=len(self.words)), np.bincount(self.at, minlength=len(pairs))])
+        counts = np.concatenate([np.bincount(self.codes, minlength=len(self.words)), np.bincount(self.at, minlength=len(pairs))])
+        self.order = np.argsort(self.keys)
+        self.sorted_keys, self.sorted_counts = self.keys[self.order], counts[self.order]
 
+    def by_place(self, values: np.ndarray) -> np.ndarray:
+        """Values of the n-grams in the order of their hashes, by their places."""
+        out = np.empty(len(values), np.float64)
+        out[self.order] = values
+        return out
 
-def _asked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(k, chunk, n): the distinct n-grams of each chunk."""
-    for batch in batches:
-        for chunk, *blobs in zip(*(c.to_pylist() for c in batch.columns)):
-            c = Chunk(*blobs)
-            order = np.argsort(c.keys)  # sorted keys are shuffled in less space
-            for lo in range(0, len(order), 100_000):
-                some = order[lo : lo + 100_000]
-                yield pa.RecordBatch.from_arrays([pa.array(c.keys[some].view(np.int64)), pa.array(np.full(len(some), chunk)), pa.array(c.counts[some])], names=["k", "chunk", "n"])
 
+def packed(values: np.ndarray) -> bytes:
+    """64-bit numbers, byte by byte: high bytes are mostly zero and take no space."""
+    return pa.compress(np.ascontiguousarray(values.view(np.uint8).reshape(-1, 8).T).tobytes(), "zstd", asbytes=True)
 
-def asked(chunks: DataFrame) -> DataFrame:
-    return map_arrow(chunks.select("chunk", "sizes", "words", "codes"), _asked, "k bigint, chunk bigint, n bigint")
 
+def unpacked(blob: bytes, n: int, kind: type) -> np.ndarray:
+    raw = np.frombuffer(pa.decompress(blob, 8 * n, "zstd", asbytes=True), np.uint8)
+    return np.ascontiguousarray(raw.reshape(8, n).T).view(kind).ravel()
 
-def _vocabulary(chunks: DataFrame) -> DataFrame:
-    """(k): the distinct words of each chunk."""
 
-    def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for x in batch.column(0).to_pylist():
-                yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(x, np.int64))], names=["k"])
+ASKED = "bucket bigint, chunk bigint, n bigint, keys binary, counts binary"
+
 
-    return map_arrow(chunks.select("words"), words, "k bigint").distinct()
+def asked(chunks: DataFrame, buckets: int) -> DataFrame:
+    """The distinct n-grams of each chunk, packed by bucket."""
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in range(len(batch)):
+                chunk, *blobs = (c[row].as_py() for c in batch.columns)
+                c = Chunk(*blobs)
+                bucket = ((c.sorted_keys >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
+                ends = np.flatnonzero(np.append(bucket[1:] != bucket[:-1], True)) + 1 if len(bucket) else []
+                begin, rows = 0, []
+                for end in ends:
+                    k = c.sorted_keys[begin:end]
+                    rows.append((int(bucket[begin]), chunk, end - begin, packed(np.diff(k, prepend=np.uint64(0))), packed(c.sorted_counts[begin:end].astype(np.int64))))
+                    begin = end
+                if rows:
+                    types = (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary())
+                    yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows), types)], names=[x.split()[0] for x in ASKED.split(", ")])
+
+    return map_arrow(chunks.select("chunk", "sizes", "words", "codes"), ask, ASKED)
+
+
+def _answered(table: pa.Table) -> pa.Table:
+    """Sums over one bucket, for each row that asks: of the target, and of the rest of the background, in the order of its n-grams."""
+    rows = [dict(zip(table.column_names, r)) for r in zip(*(c.to_pylist() for c in table.columns))]
+    keys = np.concatenate([np.cumsum(unpacked(r["keys"], r["n"], np.uint64)) for r in rows])
+    counts = [unpacked(r["counts"], r["n"], np.int64) for r in rows]
+    distinct, at = np.unique(keys, return_inverse=True)
+    held = np.repeat([r["kind"] for r in rows], [r["n"] for r in rows])
+    n = np.concatenate(counts)
+    sums = [np.bincount(at, weights=np.where(np.isin(held, kinds), n, 0), minlength=len(distinct)).astype(np.int64) for kinds in ((TARGET,), (OWN, BACKGROUND))]
+    out, begin = [], 0
+    words = int(((distinct & np.uint64(1) == 0) & (sums[0] + sums[1] > 0)).sum())
+    for r, mine in zip(rows, counts):
+        here = at[begin : begin + r["n"]]
+        begin += r["n"]
+        if r["kind"] in (OWN, NEW):
+            out.append((r["bucket"], r["chunk"], r["n"], packed(sums[0][here]), packed(sums[1][here] - (mine if r["kind"] == OWN else 0)), words))
+            words = 0
+    if words:
+        out.append((rows[0]["bucket"], None, 0, b"", b"", words))
+    types = (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.int64())
+    return pa.Table.from_arrays([pa.array(x, t) for x, t in zip(zip(*out), types)], names=["bucket", "chunk", "n", "t", "b", "words"])
+
+
+#: What the rows of a bucket are: chunks of the background that are scored themselves, of the target, of a background that is not scored, and of other documents.
+OWN, TARGET, BACKGROUND, NEW = range(4)
 
 
 def learn(target: DataFrame, background: DataFrame, s: Settings = Settings()) -> Model:
     """Both tables have a column text; all their rows are counted. A background with doc_id can be scored itself."""
     chunks = [written(chunked(x, s.chunk), "chunks") for x in (target, background)]
-    totals = tuple(int(x.agg(F.sum("tokens")).first()[0] or 0) for x in chunks)
-    return Model(*chunks, totals, _vocabulary(chunks[0].unionAll(chunks[1])).count(), s)
+    return Model(*chunks, tuple(int(x.agg(F.sum("tokens")).first()[0] or 0) for x in chunks), s)
 
 
 def losses(c: Chunk, counts: np.ndarray, n: int, size: int, prior: float, own: bool) -> np.ndarray:
@@ -192,25 +237,24 @@ def score(model: Model, docs: DataFrame | None = None) -> DataFrame:
 
     Without docs, the documents of the background are scored, each left out of the counts; docs are others.
     """
-    own, totals, size, prior = docs is None, model.totals, model.size, model.settings.prior
-    chunks = model.background if own else written(chunked(docs, model.settings.chunk), "chunks")
-    # target rows have no chunk, rows of a background that is not scored have -1
-    rows = asked(chunks).unionAll(asked(model.target).withColumn("chunk", F.lit(None).cast("long")))
-    if not own:
-        rows = rows.withColumn("n", F.when(F.col("chunk") >= 0, 0).otherwise(F.col("n"))).unionAll(asked(model.background).withColumn("chunk", F.lit(-1).cast("long")))
-    same = Window.partitionBy("k")
-    sums = rows.withColumns({"t": F.sum(F.when(F.col("chunk").isNull(), F.col("n"))).over(same), "b": F.sum(F.when(F.col("chunk").isNotNull(), F.col("n"))).over(same)})
-    answers = sums.where("chunk >= 0").select("chunk", "k", F.coalesce("t", F.lit(0)).alias("t"), (F.col("b") - F.col("n")).alias("b")).where("t > 0 or b > 0")
+    own, totals, s = docs is None, model.totals, model.settings
+    chunks = model.background if own else written(chunked(docs, s.chunk), "chunks")
+    buckets = max(1, sum(totals) // s.bucket)
+    parts = [(chunks, OWN if own else NEW), (model.target, TARGET), *([] if own else [(model.background, BACKGROUND)])]
+    rows = None
+    for part, kind in parts:
+        of_part = asked(part, buckets).withColumn("kind", F.lit(kind))
+        rows = of_part if rows is None else rows.unionAll(of_part)
+    answers = written(rows.groupBy("bucket").applyInArrow(_answered, "bucket bigint, chunk bigint, n bigint, t binary, b binary, words bigint"), "answers")
+    size = int(answers.agg(F.sum("words")).first()[0] or 0)
 
     def scored(chunk: pa.Table, found: pa.Table) -> pa.Table:
         c = Chunk(*(chunk.column(x)[0].as_py() for x in ("sizes", "words", "codes")))
-        order = np.argsort(c.keys)
-        place = order[np.searchsorted(c.keys, found.column("k").to_numpy().view(np.uint64), sorter=order)]
-        counts = np.zeros(len(c.keys), np.int64), c.counts.copy() if own else np.zeros(len(c.keys), np.int64)
-        for x, name in zip(counts, ("t", "b")):
-            x[place] += found.column(name).to_numpy()
+        found = found.sort_by("bucket")
+        sums = [np.concatenate([np.empty(0, np.int64), *(unpacked(x, k, np.int64) for x, k in zip(found.column(name).to_pylist(), found.column("n").to_pylist()))]) for name in ("t", "b")]
+        counts = c.by_place(sums[0]), c.by_place(sums[1] + (c.sorted_counts if own else 0))
         owner, n = np.repeat(np.arange(len(c.sizes)), c.sizes), np.maximum(1, c.sizes)
-        a, b = (np.bincount(owner, weights=losses(c, x, m, size, prior, out), minlength=len(n)) / n for x, m, out in zip(counts, totals, (False, own)))
+        a, b = (np.bincount(owner, weights=losses(c, x, m, size, s.prior, out), minlength=len(n)) / n for x, m, out in zip(counts, totals, (False, own)))
         return pa.Table.from_arrays([chunk.column("ids").combine_chunks().flatten(), pa.array(c.sizes), pa.array(a), pa.array(b), pa.array(b - a)], names=["doc_id", "n_tokens", "target_loss", "background_loss", "score"])
 
-    return chunks.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(scored, "doc_id bigint, n_tokens bigint, target_loss double, background_loss double, score double")
+    return chunks.groupBy("chunk").cogroup(answers.where("chunk is not null").groupBy("chunk")).applyInArrow(scored, "doc_id bigint, n_tokens bigint, target_loss double, background_loss double, score double")
