@@ -37,9 +37,9 @@ from .common import LOWER_TABLE, map_arrow, written
 class Settings:
     prior: float = 50.0
     #: Tokens, and documents, after which a chunk ends.
-    chunk: int = 2_000_000
+    chunk: int = 800_000
     #: Tokens of both corpora for each bucket of n-grams.
-    bucket: int = 1_000_000
+    bucket: int = 500_000
 
 
 @dataclass
