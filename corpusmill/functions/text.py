@@ -49,8 +49,7 @@ def ratio(part: Column, whole: Column) -> Column:
 
 
 def stop_word_ratio(tokens: Column, stop_words: tuple[str, ...]) -> Column:
-    listed = F.array(*(F.lit(w) for w in stop_words))
-    return let(tokens, lambda t: ratio(F.size(F.filter(t, lambda w: F.array_contains(listed, F.lower(w)))), F.size(t)))
+    return let(tokens, lambda t: ratio(F.size(F.filter(t, lambda w: F.lower(w).isin(*stop_words))), F.size(t)))
 
 
 def symbol_ratio(text: Column) -> Column:
@@ -61,7 +60,7 @@ def symbol_ratio(text: Column) -> Column:
 
 def upper_ratio(tokens: Column) -> Column:
     """Of the words made of letters only, the share in capitals."""
-    letters = F.filter(tokens, lambda w: w.rlike("^\\p{L}+$"))
+    letters = F.filter(tokens, lambda w: ~w.rlike("\\P{L}") & (w != ""))
     return let(letters, lambda t: ratio(F.size(F.filter(t, lambda w: (w == F.upper(w)) & (w != F.lower(w)))), F.size(t)))
 
 

@@ -70,7 +70,14 @@ def text_of(df: DataFrame, columns: list[str]) -> Column:
 
 def drop_reason(text: Column, empty: Column | None, rules: RowFilters) -> Column:
     """The first rule that drops the row, or null."""
-    words, cases = X.words(text), []
+    of_words = (rules.min_words, rules.min_stop_word_ratio, rules.max_upper_ratio, rules.max_repeat_ngram_ratio)
+    if all(r is None for r in of_words):
+        return _first_of(text, F.lit(None), empty, rules)
+    return X.let(text, lambda t: X.let(X.words(t), lambda w: _first_of(t, w, empty, rules)))
+
+
+def _first_of(text: Column, words: Column, empty: Column | None, rules: RowFilters) -> Column:
+    cases = []
     if rules.drop_empty and empty is not None:
         cases.append((empty, "drop_empty"))
     if rules.min_text_len is not None:

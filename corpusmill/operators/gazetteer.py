@@ -62,21 +62,17 @@ class Phrases:
         return out
 
 
-def table(rows) -> list[tuple[str, str]]:
-    return [(p.strip(), key) for key, phrases, *_ in rows for p in phrases.split(",") if p.strip()]
-
-
 @dataclass
 class Ranges:
     """Which classes a predicate's or qualifier's sides may have."""
 
     ancestors: Mapping[str, frozenset[str]]
-    sides: Mapping[str, tuple[str | None, str | None]] = field(default_factory=lambda: {name: (head, tail) for name, _, head, tail in V.PREDICATES})
+    sides: Mapping[str, tuple[Sequence[str] | None, Sequence[str] | None]] = field(default_factory=lambda: {name: (head, tail) for name, head, tail in V.PREDICATE_RANGES})
 
-    def classes(self, groups: str) -> frozenset[str]:
-        return frozenset(c for g in groups.split("|") for c in V.GROUPS.get(g, g).split())
+    def classes(self, groups: Sequence[str]) -> frozenset[str]:
+        return frozenset(c for g in groups for c in V.CLASS_GROUPS.get(g, (g,)))
 
-    def allows(self, groups: str | None, category: str, strict: bool = False) -> bool:
+    def allows(self, groups: Sequence[str] | None, category: str, strict: bool = False) -> bool:
         own = self.ancestors.get(category, frozenset())
         if not own:
             return not strict
@@ -96,7 +92,7 @@ class Gazetteer:
     extra: Mapping[str, Sequence[str]] = field(default_factory=dict)
 
     def __post_init__(self) -> None:
-        rows = table(V.PREDICATES)
+        rows = list(V.PREDICATE_PHRASES)
         owners = dict(rows)
         for name, phrases in self.extra.items():
             for p in phrases:
@@ -107,10 +103,9 @@ class Gazetteer:
                     raise ValueError(f"the phrase {low!r} belongs to {owners[low]}")
                 rows.append((low, name))
         self.triggers = Phrases(rows)
-        self.contexts = Phrases(table(V.CONTEXT_QUALIFIERS))
-        cues = [(slot, *(x.strip() for x in (c + ">" + c.strip().replace(" ", "_") if ">" not in c else c).split(">"))) for slot, _, _, listed in V.ENUM_QUALIFIERS for c in listed.split(",")]
-        self.cues = Phrases([(cue, slot) for slot, cue, _ in cues])
-        self.values = {cue: value for _, cue, value in cues}
+        self.contexts = Phrases(V.CONTEXT_PHRASES)
+        self.cues = Phrases([(cue, slot) for cue, slot, _ in V.ENUM_CUES])
+        self.values = {cue: value for cue, _, value in V.ENUM_CUES}
         self.negations = Phrases([(c, c) for c in V.NEGATION_CUES])
         self.ranges = Ranges(self.ancestors)
 
@@ -194,7 +189,7 @@ class _Reading:
         return max(a[0] - b[1], b[0] - a[1], 0)
 
     def qualifiers(self, ends: list[Span], tails: set[Span]) -> list[dict]:
-        ranges = {slot: allowed for slot, _, allowed in V.CONTEXT_QUALIFIERS}
+        ranges, announced = dict(V.CONTEXT_RANGES), {slot for _, slot in V.CONTEXT_PHRASES}
         found: dict[str, list[Span]] = {slot: [] for slot in ranges}
         for start, end, slot in self.g.contexts.scan(self.low):
             c = self.after(end)
@@ -206,8 +201,8 @@ class _Reading:
                 if not self.hollow(said) and not self.restates(said, ends):
                     found[slot].append(said)
         out = []
-        for slot, phrases, allowed in V.CONTEXT_QUALIFIERS:
-            if not phrases:
+        for slot, allowed in V.CONTEXT_RANGES:
+            if slot not in announced:
                 found[slot] = [s for s in self.spans if self.g.ranges.allows(allowed, s[2], strict=True) and s[2] not in V.JUNK and not self.restates(s, ends) and not self.hollow(s)]
             hosted = [(self.gap(host, c), c[0], host[0], host[1], i, host, c) for i, c in enumerate(found[slot]) for host in [min(ends, key=lambda e: (self.gap(e, c), e not in tails))]]
             if hosted:
@@ -219,7 +214,7 @@ class _Reading:
         first: dict[str, Span] = {}
         for cue in self.g.cues.scan(self.low):
             first.setdefault(cue[2], cue)
-        sides = {slot: (side, window) for slot, side, window, _ in V.ENUM_QUALIFIERS}
+        sides = {slot: (side, window) for slot, side, window in V.ENUM_SLOTS}
         out = []
         for slot, cue in first.items():
             side, window = sides[slot]

@@ -431,7 +431,7 @@ def pascal_label(spark, sf_dir):
 
 @query()
 def ngram_candidates(spark, sf_dir):
-    made = mining.with_candidates(table(spark, sf_dir, "part").select("p_partkey", "p_name"), "p_name", 3)
+    made = mining.with_candidates(table(spark, sf_dir, "part").select("p_partkey", "p_name"), "p_name")
     return made.select("p_partkey", F.explode("candidates").alias("c")).select("p_partkey", "c.start", "c.end", "c.n", "c.surface", "c.key", "c.bridged")
 
 
@@ -444,7 +444,7 @@ def _word_lexicon(spark, sf_dir):
 
 @query()
 def mine_documents(spark, sf_dir):
-    found = mining.mine(table(spark, sf_dir, "documents"), _word_lexicon(spark, sf_dir), longest=2)
+    found = mining.mine(table(spark, sf_dir, "documents"), _word_lexicon(spark, sf_dir))
     return found.select("doc_id", F.explode("mined").alias("m")).select("doc_id", "m.*")
 
 

@@ -1,12 +1,14 @@
-"""Session helpers: the package's code on the executors."""
+"""Session helpers: the package's code on the executors, the shared folder, written intermediates."""
 
 from __future__ import annotations
 
+import os
 import tempfile
+import uuid
 import zipfile
 from pathlib import Path
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _shipped: set[str] = set()
 
@@ -24,3 +26,36 @@ def ship_code(spark: SparkSession) -> None:
                 z.write(f, f.relative_to(root.parent))
         context.addPyFile(str(archive))
     _shipped.add(context.applicationId)
+
+
+def shared_dir(spark: SparkSession) -> str:
+    """The folder that driver and executors share: ``spark.checkpoint.dir`` of the session.
+
+    Only where the setting is absent and the master runs inside this machine (tests) is a folder beside the warehouse
+    used; a cluster without the setting is an error, since a machine-local folder would lose rows there.
+    """
+    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if found:
+        return found.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+    return os.path.join(spark.conf.get("spark.sql.warehouse.dir").removeprefix("file:"), "_shared")
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """Writes df as Parquet to the shared folder and returns the reread table: lineage is cut, lost executors cost no rerun."""
+    spark = df.sparkSession
+    path = f"{shared_dir(spark)}/corpusmill/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.written_path = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Deletes the files of tables that ``written`` made and that no later plan reads; others are left alone."""
+    for df in tables:
+        if path := getattr(df, "written_path", None):
+            spark = df.sparkSession
+            at = spark._jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)

@@ -1,5 +1,10 @@
+import random
+
+import numpy as np
 from pyspark.sql import functions as F
 
+from corpusmill.functions import vocabulary as V
+from corpusmill.functions.stemming import term_key
 from corpusmill.operators import families, lexicon, mining
 from corpusmill.operators.gazetteer import Gazetteer, relations, silent_predicates
 
@@ -70,14 +75,56 @@ def test_resolution(spark):
 
 
 def test_mining(spark):
-    assert [c["surface"] for c in mining.candidates("", "the lung cancer . 12 mg".split(), 2)] == ["lung", "cancer", "mg", "the lung", "lung cancer", "12 mg"]
-    keys = {(c["surface"], c["key"], c["bridged"]) for c in mining.candidates("body mass index (BMI)", ["BMI", "β-cell"], 1)}
+    def candidates(tokens, text, longest, known=None):
+        return [(c[3], c[4], c[5]) for c in mining.candidates_of([tokens], [text], mining.Words(), longest, known)[0]]
+
+    assert [c[0] for c in candidates("the lung cancer . 12 mg".split(), "", 2)] == ["lung", "cancer", "mg", "the lung", "lung cancer", "12 mg"]
+    keys = candidates(["BMI", "β-cell"], "body mass index (BMI)", 1)
     assert ("BMI", "bodi index mass", True) in keys and ("β-cell", "beta cell", False) in keys
     lex = spark.createDataFrame([("lung cancer", "D:1", "Disease", 0), ("cancer", "D:2", "Disease", 0), ("formate", "D:3", "Drug", 0), ("body mass index", "D:4", "Disease", 0)], "preferred_name string, curie string, category string, taxon int")
     lex = lexicon.keyed(lex, "preferred_name", "name_key").withColumn("term", F.col("name_key"))
     docs = spark.createDataFrame([(1, "Lung cancers and a cancer; body mass index (BMI). BMI formation"), (2, None)], "doc_id int, text string")
-    got = {r.doc_id: [(m.surface, m.curie) for m in r.mined] for r in mining.mine(docs, mining.exact_lexicon(lex)).collect()}
-    assert got == {1: [("Lung cancers", "D:1"), ("cancer", "D:2"), ("body mass index", "D:4"), ("BMI", "D:4"), ("BMI", "D:4")], 2: []}
+    for most in (mining.MOST_SENT, 0):  # with and without the broadcast of key sums
+        got = {r.doc_id: [(m.surface, m.curie) for m in r.mined] for r in mining.mine(docs, mining.exact_lexicon(lex), most=most).collect()}
+        assert got == {1: [("Lung cancers", "D:1"), ("cancer", "D:2"), ("body mass index", "D:4"), ("BMI", "D:4"), ("BMI", "D:4")], 2: []}
+
+
+def _slow_candidates(tokens, text, longest):
+    """Every window, one by one."""
+    words = [mining.WORD_EDGES.sub("", t) for t in tokens]
+    defined = {}
+    for m in mining.DEFINITION.finditer(text):
+        defined.setdefault(m[2], m[1].strip())
+    out = []
+    for n in range(1, longest + 1):
+        for i in range(len(words) - n + 1):
+            run = words[i : i + n]
+            if not all(run) or all(mining.NUMBER.match(w) for w in run) or all(w.lower() in V.FUNCTION_WORDS for w in run):
+                continue
+            surface = " ".join(run)
+            keys = [(term_key(defined.get(surface)) if n == 1 else None, True), (term_key(surface), False)]
+            plain = [p for w in run for p in mining.plain_parts(w)]
+            if any(not w.isascii() or "-" in w or "/" in w for w in run) and len(plain) >= n and " ".join(plain) != surface:
+                keys.append((term_key(" ".join(plain)), False))
+            out += [(i, i + n - 1, n, surface, k, b) for k, b in keys if k]
+    return out
+
+
+def test_candidates_against_every_window():
+    r = random.Random(5)
+    pieces = ["the", "of", "β-cell", "12", "3.5%", "lung", "Cancer", "é", ".", "_", "--", "state-of-the-art", "BMI", "and/or", "naïve", "IL-2"]
+    words = mining.Words(most=9)
+    for _ in range(60):
+        texts = [[r.choice(pieces) for _ in range(r.randint(0, 12))] for _ in range(4)]
+        whole = [r.choice(["", "body mass index (BMI) and lung lung tissue (BMI)", "tumor necrosis (IL)"]) for _ in texts]
+        got = mining.candidates_of(texts, whole, words, 4, None)
+        want = [_slow_candidates(t, w, 4) for t, w in zip(texts, whole)]
+        assert [[c[:6] for c in x] for x in got] == want
+        # with known sums: at least those whose keys are known
+        chosen = {c[4] for x in want for c in x[::3]}
+        known = np.unique(np.array([mining.bag_sum(k.split()) for k in chosen], np.uint64))
+        some = mining.candidates_of(texts, whole, words, 4, known)
+        assert [[c[:6] for c in x if c[4] in chosen] for x in some] == [[c for c in x if c[4] in chosen] for x in want]
 
 
 def test_families(spark):
