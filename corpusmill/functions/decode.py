@@ -14,6 +14,7 @@ import pandas as pd
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
+from corpusmill.functions import corpora as V
 from corpusmill.plans.runtime import ship_code
 
 
@@ -80,6 +81,112 @@ def flattened(value) -> list[tuple[str, str]]:
     return out
 
 
+def json_fields(root) -> list[tuple[str, list[str]]]:
+    """(path, values) of a JSON value: scalars one by one, scalars of a list together; blanks and nulls are left out."""
+    out: list[tuple[str, list[str]]] = []
+    todo: list = [("", root)]
+    while todo:
+        path, node = todo.pop()
+        if isinstance(node, dict):
+            todo += [(f"{path}.{k}" if path else str(k), v) for k, v in reversed(node.items())]
+        elif isinstance(node, list):
+            inner = [v for v in node if isinstance(v, (dict, list))]
+            said = [str(v) for v in node if not isinstance(v, (dict, list)) and v is not None and v != ""]
+            # the scalars of a mixed list come after its containers
+            todo += ([(f"{path}[]", tuple(said))] if said else []) + [(f"{path}[]", v) for v in reversed(inner)]
+        elif isinstance(node, tuple):
+            out.append((path, list(node)))
+        elif isinstance(node, bool):
+            out.append((path, [str(node).lower()]))
+        elif node is not None and not (isinstance(node, str) and not node.strip()):
+            out.append((path, [str(node)]))
+    return out
+
+
+def objects(root) -> Iterator[dict]:
+    """All objects of a JSON value."""
+    todo = [root]
+    while todo:
+        node = todo.pop()
+        if isinstance(node, dict):
+            yield node
+            todo += node.values()
+        elif isinstance(node, list):
+            todo += node
+
+
+def beside_marker(root, source: str) -> set[str] | None:
+    """Names that stand beside the marker which their source asks for; None where it asks for none."""
+    texts = lambda *xs: {x for x in xs if isinstance(x, str) and x}
+    found: set[str] = set()
+    if source == V.JSON_INTERVENTIONS:
+        for node in objects(root):
+            listed = node.get("interventions")
+            for x in listed if isinstance(listed, list) else ():
+                if isinstance(x, dict) and isinstance(x.get("type"), str) and x["type"].lower() in V.JSON_INTERVENTION_TYPES:
+                    found |= texts(x.get("name"))
+        return found
+    if source == V.JSON_PERSONS:
+        for node in objects(root):
+            if node.get("entity") == V.JSON_PERSON:
+                more = node.get("properties")
+                found |= texts(node.get("name"), more.get("name") if isinstance(more, dict) else None)
+        return found
+    return None
+
+
+def json_example(text: str | None, written: str | None, source: str | None) -> dict:
+    """fields, mentions and triples of a JSON document that was made from a text; nothing where it is no object or list."""
+    none = {"text": "", "fields": [], "mentions": [], "triples": []}
+    try:
+        root = json.loads(written) if text and written else None
+    except (ValueError, RecursionError):
+        return none
+    if not isinstance(root, (dict, list)):
+        return none
+    fields, named = json_fields(root), beside_marker(root, source or "")
+    classes = {path: c for s, path, c in V.JSON_LEAVES if s == source}
+
+    def counts(path: str, value: str) -> bool:
+        if source == V.JSON_COMPANIES and value.startswith(V.JSON_PLACEHOLDER):
+            return False
+        return value in text and (named is None or path.endswith("[]") or value in named)
+
+    mentions = [{"mention": x, "category": classes[path]} for path, values in fields if path in classes for x in values if counts(path, x)]
+    triples = []
+    for x in root if source == V.JSON_TRIPLES and isinstance(root, list) else ():
+        name = V.JSON_PREDICATES.get(x["predicate"]) if isinstance(x, dict) and isinstance(x.get("predicate"), str) else None
+        head, tail = (x.get("subject"), x.get("object")) if name else (None, None)
+        if isinstance(head, str) and isinstance(tail, str) and head != tail and head in text and tail in text:
+            triples.append({"name": name, "head": head, "tail": tail})
+    return {"text": text, "fields": [{"name": p, "value": v} for p, v in fields], "mentions": mentions, "triples": triples}
+
+
+def leaflet(sections) -> dict:
+    """tokens and spans of a leaflet's sections, each a literal with its content and marks. A null token parts two sections."""
+    tokens: list[str | None] = []
+    spans: list[dict] = []
+    for s in sections:
+        s = literal(s)
+        content = s.get("Section_Content") if isinstance(s, dict) else None
+        if not isinstance(content, str) or not content:
+            continue
+        listed = literal(s.get("Entity_Recognition"))
+        tokens += [None] if tokens else []
+        first = len(tokens)
+        tokens += content.split()
+        ends = [0]
+        for t in tokens[first:]:
+            ends.append(ends[-1] + len(t) + 1)
+        marks = [(x.get("BeginOffset"), x.get("EndOffset"), x.get("Type"), x.get("Text")) for x in listed if isinstance(x, dict)] if isinstance(listed, list) else []
+        for a, b, kind, said in dict.fromkeys(m for m in marks if type(m[0]) is type(m[1]) is int and isinstance(m[2], str) and isinstance(m[3], str)):
+            if 0 <= a < b < ends[-1] and content[a:b] == said and (inside := said.strip()):
+                lo = a + len(said) - len(said.lstrip())
+                touched = [i for i in range(len(ends) - 1) if ends[i + 1] - 1 > lo and ends[i] < lo + len(inside)]
+                spans.append({"start": first + touched[0], "end": first + touched[-1], "label": kind})
+    return {"tokens": tokens, "spans": spans}
+
+
 def first_object(text) -> dict | None:
     """The JSON object that begins at the first brace."""
     at = text.find("{") if isinstance(text, str) else -1

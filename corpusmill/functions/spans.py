@@ -192,10 +192,24 @@ def passage_text(passages: Column, gaps: bool = False) -> Column:
     return F.aggregate(ordered, F.lit(""), lambda acc, p: F.concat(acc, F.repeat(F.lit(" "), F.greatest(p["offset"] - F.length(acc), F.lit(0)).cast("int")), p["text"]))
 
 
-def sentence_offsets(sentences: Column) -> Column:
-    """First token of each sentence in the flattened document."""
-    sizes = F.transform(sentences, lambda s: F.size(s))
-    return F.aggregate(sizes, F.array(F.lit(0)), lambda acc, n: F.concat(acc, F.array(F.element_at(acc, -1) + n)), lambda acc: F.slice(acc, 1, F.greatest(F.size(acc) - 1, F.lit(1))))
+def clustered(sentences: Column, clusters: Column) -> Column:
+    """Mentions of each cluster as array<array<struct<mention, type>>>: places are of a sentence's tokens, the end exclusive; those outside their sentence are dropped."""
+
+    def good(m: Column) -> Column:
+        a, b = F.get(m["pos"], F.lit(0)), F.get(m["pos"], F.lit(1))
+        inside = (m["sent_id"] >= 0) & (b <= F.size(F.get(sentences, m["sent_id"])))
+        return F.coalesce((F.size(m["pos"]) == 2) & (a >= 0) & (a < b) & inside, F.lit(False))
+
+    def named(m: Column) -> Column:
+        a, b = F.get(m["pos"], F.lit(0)), F.get(m["pos"], F.lit(1))
+        return F.struct(F.array_join(F.slice(F.get(sentences, m["sent_id"]), a + 1, b - a), " ").alias("mention"), m["type"].alias("type"))
+
+    return F.transform(clusters, lambda c: F.transform(F.filter(c, good), named))
+
+
+def without_slots(label: Column) -> Column:
+    """A relation label without the mark that says which participant fills which slot."""
+    return F.regexp_replace(label, r"\x20?\((?:e1,e2|e2,e1)\)$", "")
 
 
 def index_run(indices: Column) -> Column:

@@ -4,7 +4,8 @@ A builder takes a table with a corpus's own columns and adds the same columns ev
 with raw labels, to be resolved), gold (mentions whose classes are taken from the corpus), relations (gold ones) and
 classifications. Resolution, grouping and the gazetteer are shared and come after. Malformed pieces are dropped, rows stay.
 
-``DECODERS`` lists the corpora. Label maps beyond a few entries are parameters: ``decode(df, name, label_map=...)``.
+``DECODERS`` lists the corpora, whose fixed values are in ``functions.corpora``; further labels and predicates are parameters:
+``decode(df, name, label_map=...)``.
 """
 
 from __future__ import annotations
@@ -16,6 +17,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from corpusmill.functions import corpora as K
 from corpusmill.functions import decode as C
 from corpusmill.functions import spans as S
 from corpusmill.functions.stemming import tokenize
@@ -26,6 +28,7 @@ GOLD = "array<struct<mention:string,category:string,curie:string,preferred_name:
 RELATIONS = "array<struct<name:string,fields:array<struct<name:string,value:string>>,description:string,negated:boolean,evidence:string>>"
 CLASSES = "array<struct<task:string,labels:array<string>,true_label:array<string>,multi_label:boolean>>"
 SPANS = f"array<{S.SPAN}>"
+STRUCTURES = "array<struct<name:string,fields:array<struct<name:string,value:array<string>>>>>"
 
 
 def triples(spark: SparkSession, text: Column) -> Column:
@@ -41,7 +44,7 @@ def triples(spark: SparkSession, text: Column) -> Column:
 
 def finished(df: DataFrame, **made: Column) -> DataFrame:
     """df with the shared columns; what a builder does not make is empty."""
-    kinds = {"tokens": "array<string>", "spans": SPANS, "gold": GOLD, "relations": RELATIONS, "classifications": CLASSES}
+    kinds = {"tokens": "array<string>", "spans": SPANS, "gold": GOLD, "relations": RELATIONS, "classifications": CLASSES, "structures": STRUCTURES}
     out = df
     for name, c in made.items():
         out = out.withColumn(name, c)
@@ -51,6 +54,11 @@ def finished(df: DataFrame, **made: Column) -> DataFrame:
     return out.withColumn("text", F.coalesce("text", F.lit("")))
 
 
+def once(df: DataFrame) -> DataFrame:
+    """df with its columns evaluated: no optimizer rule puts their expressions into what reads them, least of all into a lambda that would evaluate them for every element."""
+    return df.select(F.inline(F.array(F.struct(*df.columns))))
+
+
 def relation(name: Column, head: Column, tail: Column) -> Column:
     fields = F.array(F.struct(F.lit("head").alias("name"), head.alias("value")), F.struct(F.lit("tail").alias("name"), tail.alias("value")))
     return F.struct(name.alias("name"), fields.alias("fields"), F.lit(None).cast("string").alias("description"), F.lit(False).alias("negated"), F.lit("asserted").alias("evidence"))
@@ -66,13 +74,16 @@ def table_of(labels: dict[str, str]) -> Column:
     return F.create_map(*(F.lit(x) for kv in labels.items() for x in kv)) if labels else F.create_map().cast("map<string,string>")
 
 
-def linked(rows: Column, mentions: Column, predicates: Column, keep_first_of: bool = False) -> Column:
-    """Gold relations between mentions by id. rows: array<struct<type, arg1, arg2>>; unknown types, ids without a mention and self-loops are dropped, equal ones collapse."""
+def linked(rows: Column, mentions: Column, c: Corpus) -> Column:
+    """Gold relations between mentions by id. rows: array<struct<type, arg1, arg2>>; unknown types, ids without a mention and self-loops (by id; by surface unless ``same_surface``) are dropped, equal ones collapse."""
 
     def one(r: Column) -> Column:
         head, tail = _first(mentions, r["arg1"]), _first(mentions, r["arg2"])
-        name = F.try_element_at(predicates, r["type"])
-        return F.when(name.isNotNull() & head.isNotNull() & tail.isNotNull() & (F.lower(head) != F.lower(tail)), relation(name, head, tail))
+        name = F.try_element_at(table_of(c.predicates), F.lower(F.btrim(r["type"])) if c.native else r["type"])
+        if c.native:
+            name = F.when(~F.lower(F.btrim(r["type"])).isin(*K.CHIA_INTEGRATORS), F.coalesce(name, S.predicate_name(r["type"])))
+        apart = F.lit(True) if c.same_surface else F.lower(head) != F.lower(tail)
+        return F.when(name.isNotNull() & head.isNotNull() & tail.isNotNull() & (r["arg1"] != r["arg2"]) & apart, relation(name, head, tail))
 
     return F.array_distinct(F.filter(F.transform(rows, one), lambda x: x.isNotNull()))
 
@@ -119,15 +130,101 @@ def brat(df: DataFrame, c: Corpus) -> DataFrame:
 
 def char_spans_linked(df: DataFrame, c: Corpus) -> DataFrame:
     """text, entities (array<struct<id, type, start, end>>) and rels (array<struct<type, arg1, arg2>>): entities to be resolved, gold relations by id."""
-    x = df.withColumn("_t", triples(df.sparkSession, F.col("text"))).withColumn("tokens", F.transform("_t", lambda t: t["token"]))
+    x = df.withColumn("_t", triples(df.sparkSession, F.col("text")))
     # the id rides in the label, so that a span that is dropped can't shift the others' ids
-    marked = F.transform("entities", lambda e: F.struct(e["start"].alias("start"), e["end"].alias("end"), e["id"].alias("label")))
-    x = x.withColumn("_b", S.bridged(F.col("_t"), marked, F.col("text")))
-    kind = lambda i: F.get(F.filter("entities", lambda e: e["id"] == i), F.lit(0))["type"]
-    x = x.withColumn("_m", F.transform("_b", lambda s: F.struct(S.surface(F.col("tokens"), s["start"], s["end"]).alias("mention"), s["label"].alias("id"))))
-    x = x.withColumn("spans", F.transform("_b", lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), kind(s["label"]).alias("label"))))
-    x = x.withColumn("relations", linked(F.col("rels"), F.col("_m"), table_of(c.predicates))).withColumn("text", S.join_tokens(F.col("tokens")))
-    return finished(x.drop("_t", "_b", "_m"), tokens=F.col("tokens"), spans=F.col("spans"), relations=F.col("relations"))
+    marked = lambda e: F.transform(e, lambda m: F.struct(m["start"].alias("start"), m["end"].alias("end"), m["id"].alias("label")))
+    kind = lambda e, i: F.get(F.filter(e, lambda m: m["id"] == i), F.lit(0))["type"]
+
+    def made(entities: Column, rels: Column, tokens: Column, placed: Column) -> Column:
+        named = F.transform(placed, lambda s: F.struct(S.surface(tokens, s["start"], s["end"]).alias("mention"), s["label"].alias("id")))
+        spans = F.transform(placed, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), kind(entities, s["label"]).alias("label")))
+        return let(named, lambda m: F.struct(tokens.alias("tokens"), spans.alias("spans"), linked(rels, m, c).alias("relations")))
+
+    # each part is evaluated once: what stands in a lambda would be evaluated for every element
+    whole = let(F.col("entities"), lambda e: let(F.col("rels"), lambda r: let(F.transform("_t", lambda t: t["token"]), lambda k: let(S.bridged(F.col("_t"), marked(e), F.col("text")), lambda b: made(e, r, k, b)))))
+    x = x.withColumn("_x", whole).drop("_t", "entities", "rels")
+    x = x.withColumn("text", S.join_tokens(F.col("_x.tokens")))
+    return finished(x, tokens=F.col("_x.tokens"), spans=F.col("_x.spans"), relations=F.col("_x.relations")).drop("_x")
+
+
+def listed_apart(df: DataFrame, c: Corpus) -> DataFrame:
+    """As char_spans_linked, with entities as struct<id, type, text, offsets> and rels as struct<type, arg1, arg2> of parallel lists; lists of different length give none."""
+    e, r = F.col("entities"), F.col("rels")
+    parts = S.transposed(e["id"], e["type"], e["offsets"])
+    whole = F.when(F.size(e["text"]) == F.size(e["id"]), parts)
+    pairs = F.filter(whole, lambda x: F.coalesce((F.size(x["offsets"]) == 2) & x["id"].isNotNull() & x["type"].isNotNull(), F.lit(False)))
+    entities = F.transform(pairs, lambda x: F.struct(x["id"].alias("id"), x["type"].alias("type"), F.get(x["offsets"], F.lit(0)).alias("start"), F.get(x["offsets"], F.lit(1)).alias("end")))
+    rels = S.transposed(r["type"], r["arg1"], r["arg2"])
+    return char_spans_linked(df.withColumn("rels", rels).withColumn("entities", F.coalesce(entities, F.array().cast("array<struct<id:string,type:string,start:int,end:int>>"))), c)
+
+
+def passages_linked(df: DataFrame, c: Corpus) -> DataFrame:
+    """Two passages (array<struct<type, text array>>) as the text, entities (array<struct<id, type, offsets, normalized>>) with one place each, rels; of relations between the same concepts the first stays."""
+    whole = F.transform("passages", lambda p: F.array_join(p["text"], " "))
+    sound = (F.size("passages") == 2) & F.forall("passages", lambda p: p["type"].isNotNull() & (F.size(p["text"]) > 0))
+    ids = lambda e: F.array_sort(F.array_distinct(F.filter(F.transform(F.coalesce(e["normalized"], F.array().cast("array<struct<db_id:string>>")), lambda n: n["db_id"]), lambda i: i.isNotNull())))
+    one = F.filter("entities", lambda e: F.coalesce((F.size(e["offsets"]) == 1) & (F.size(F.get(e["offsets"], F.lit(0))) == 2), F.lit(False)))
+    flat = F.transform(one, lambda e: F.struct(e["id"].alias("id"), e["type"].alias("type"), F.get(F.get(e["offsets"], F.lit(0)), F.lit(0)).alias("start"), F.get(F.get(e["offsets"], F.lit(0)), F.lit(1)).alias("end"), ids(e).alias("concepts")))
+    x = df.withColumn("text", F.when(sound, F.array_join(whole, " ")).otherwise("")).withColumn("entities", F.coalesce(flat, F.array().cast("array<struct<id:string,type:string,start:int,end:int,concepts:array<string>>>")))
+
+    def once(entities: Column) -> Column:
+        of = lambda i: F.get(F.filter(entities, lambda e: e["id"] == i), F.lit(0))["concepts"]
+        known = F.filter("rels", lambda r: (r["arg1"] != r["arg2"]) & of(r["arg1"]).isNotNull() & of(r["arg2"]).isNotNull())
+        signed = F.transform(known, lambda r: F.struct(r["type"].alias("type"), r["arg1"].alias("arg1"), r["arg2"].alias("arg2"), of(r["arg1"]).alias("a"), of(r["arg2"]).alias("b")))
+        return let(signed, lambda rows: F.filter(rows, lambda r, i: ~F.exists(F.slice(rows, 1, i), lambda q: (q["type"] == r["type"]) & (q["a"] == r["a"]) & (q["b"] == r["b"]))))
+
+    return char_spans_linked(x.withColumn("rels", let(F.col("entities"), once)), c)
+
+
+def parted_linked(df: DataFrame, c: Corpus) -> DataFrame:
+    """text, or passages (array<struct<offsets, text>>, each list joined) in order, entities (array<struct<id, type, offsets, text>>) of several places each, and rels (type, arg1_id, arg2_id): an entity is named by its first place."""
+    if "passages" in df.columns:
+        pieces = F.array_sort(F.transform("passages", lambda p: F.struct(F.coalesce(F.get(F.get(p["offsets"], F.lit(0)), F.lit(0)), F.lit(0)).alias("at"), F.array_join(p["text"], "").alias("text"))))
+        df = df.withColumn("text", F.array_join(F.transform(pieces, lambda p: p["text"]), ""))
+    sound = F.filter("entities", lambda e: F.coalesce((e["id"] != "") & e["type"].isNotNull() & (F.size(e["offsets"]) == F.size(e["text"])), F.lit(False)))
+    places = F.flatten(F.transform(sound, lambda e: F.transform(F.filter(e["offsets"], lambda o: F.size(o) == 2), lambda o: F.struct(e["id"].alias("id"), e["type"].alias("type"), F.get(o, F.lit(0)).alias("start"), F.get(o, F.lit(1)).alias("end")))))
+    rels = F.transform("rels", lambda r: F.struct(r["type"].alias("type"), r["arg1_id"].alias("arg1"), r["arg2_id"].alias("arg2")))
+    return char_spans_linked(df.withColumn("entities", places).withColumn("rels", rels), c)
+
+
+def clusters(df: DataFrame, c: Corpus) -> DataFrame:
+    """sents (array of token lists), vertexSet (array of clusters of struct<pos, sent_id, type>) and labels (array<struct<h, t, r>>, cluster numbers and a property id)."""
+    x = df.withColumn("tokens", F.flatten("sents")).withColumn("text", S.join_tokens(F.col("tokens"))).withColumn("_c", S.clustered(F.col("sents"), F.col("vertexSet")))
+    x = once(x)
+    none = F.lit(None).cast("string")
+    category = lambda m: F.coalesce(F.try_element_at(table_of(c.labels), F.lower(m["type"])), F.initcap(F.lower(m["type"])), F.lit("NamedThing"))
+    gold = F.transform(F.flatten("_c"), lambda m: mention(m["mention"], category(m), none, none))
+    first = lambda i: F.get(F.get("_c", i), F.lit(0))["mention"]
+
+    def one(r: Column) -> Column:
+        name, head, tail = S.predicate_name(F.try_element_at(table_of(c.predicates), r["r"])), first(r["h"]), first(r["t"])
+        sound = (r["h"] != r["t"]) & (r["h"] >= 0) & (r["t"] >= 0) & name.isNotNull() & head.isNotNull() & tail.isNotNull()
+        return F.when(sound, relation(name, head, tail))
+
+    rels = F.filter(F.transform("labels", one), lambda r: r.isNotNull())
+    return finished(x, tokens=F.col("tokens"), gold=gold, relations=rels).drop("_c")
+
+
+def leaflets(df: DataFrame, c: Corpus) -> DataFrame:
+    """Section_1 to Section_6 as literals with Section_Content and Entity_Recognition: one document whose sections stay apart."""
+    ship_code(df.sparkSession)
+
+    def read(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.DataFrame]:
+        for columns in batches:
+            yield pd.DataFrame([C.leaflet(row) for row in zip(*columns)], columns=["tokens", "spans"])
+
+    made = F.pandas_udf(read, f"struct<tokens:array<string>,spans:{SPANS}>")(*(f"Section_{i}" for i in range(1, 7)))
+    x = df.withColumn("_l", made)
+    return finished(x.withColumn("text", S.join_tokens(F.col("_l.tokens"))), tokens=F.col("_l.tokens"), spans=F.col("_l.spans")).drop("_l")
+
+
+def optioned(df: DataFrame, c: Corpus) -> DataFrame:
+    """question, options (struct<A, B, C, D>) and label: the options follow the question; a row that lacks one keeps its question alone."""
+    given = {k: F.btrim(F.col("options")[k]) for k in c.class_names}
+    usable = F.forall(F.array(*given.values()), lambda o: F.coalesce(o != "", F.lit(False)))
+    question = F.btrim(F.coalesce("question", F.lit("")))
+    text = F.when(usable, F.btrim(S.options_text(question, given))).otherwise(question)
+    return classified(df.withColumn("_text", text).withColumn("label", F.when(usable, F.upper(F.btrim("label")))).drop("options"), replace(c, parts={"_text": ""})).drop("_text")
 
 
 def exact_gold(df: DataFrame, c: Corpus) -> DataFrame:
@@ -137,7 +234,7 @@ def exact_gold(df: DataFrame, c: Corpus) -> DataFrame:
     good = F.filter("entities", lambda e: label(e).isNotNull() & (e["id"] != "") & (e["text"] != "") & (e["offset"] >= 0) & (F.substring(F.col("text"), (e["offset"] + 1).cast("int"), e["length"].cast("int")) == e["text"]))
     curie = lambda e: F.when(e["id"] != c.no_id, F.concat(F.lit(c.id_prefix), e["id"]))
     gold = F.transform(good, lambda e: mention(e["text"], label(e), curie(e), e["id"]))
-    x = x.withColumn("gold", gold)
+    x = once(x.withColumn("gold", gold))
     if not c.pair_predicate:
         return finished(x, gold=F.col("gold"))
     names = lambda i: F.array_distinct(F.transform(F.filter("gold", lambda m: m["id"] == i), lambda m: m["mention"]))
@@ -149,7 +246,7 @@ def exact_gold(df: DataFrame, c: Corpus) -> DataFrame:
 def passages_gold(df: DataFrame, c: Corpus) -> DataFrame:
     """passages (array<struct<offset, text>>) and entities (array<struct<start, end, label>>): bridged spans whose label the map knows are taken as they are."""
     x = df.withColumn("text", S.passage_text(F.col("passages"), c.gaps))
-    x = char_spans(x, c)
+    x = once(char_spans(x, c))
     label = lambda s: S.mapped_label(s["label"], table_of(c.labels))
     known = F.filter("spans", lambda s: label(s).isNotNull())
     none = F.lit(None).cast("string")
@@ -165,7 +262,10 @@ def index_gold(df: DataFrame, c: Corpus) -> DataFrame:
     none = F.lit(None).cast("string")
     gold = F.transform(F.array_distinct(F.concat("_h", "_l")), lambda m: mention(m, F.lit("NamedThing"), none, none))
     h, t = F.get("_h", F.lit(0)), F.get("_l", F.lit(0))
-    rel = F.when(h.isNotNull() & t.isNotNull() & (F.lower(h) != F.lower(t)), F.array(relation(S.predicate_name(F.col("label")), h, t)))
+    named = S.predicate_name(S.without_slots(F.col("label")))
+    # a bare property id names nothing
+    good = (named != "") & ~S.without_slots(F.col("label")).rlike("^P[0-9]+$")
+    rel = F.when(good & h.isNotNull() & t.isNotNull() & (F.lower(h) != F.lower(t)), F.array(relation(named, h, t)))
     return finished(x, tokens=F.col("tokens"), gold=gold, relations=rel).drop("_h", "_l")
 
 
@@ -211,12 +311,15 @@ def conversation(df: DataFrame, c: Corpus) -> DataFrame:
     return finished(x.drop("_t"), tokens=F.col("tokens"), spans=spans).drop("_c")
 
 
-def literal_char_gold(df: DataFrame, c: Corpus) -> DataFrame:
-    """text and spans as a literal list of {start, end, label}: slices of the text under raw labels, to be resolved; no relations."""
+def literal_slices(df: DataFrame, c: Corpus) -> DataFrame:
+    """text and spans as a literal list of {start, end, label}, the end exclusive: the slices of the text, to be resolved under their labels. The tokens are the slices themselves."""
     marks = C.span_dicts_udf(df.sparkSession)(F.col("spans"))
     x = df.withColumn("_s", marks).drop("spans")
-    inside = F.filter("_s", lambda s: s["end"] <= F.length("text"))
-    return finished(x, spans=inside).drop("_s")
+    inside = F.filter("_s", lambda s: (s["end"] <= F.length("text")) & (s["label"] != ""))
+    x = x.withColumn("_s", inside)
+    slices = F.transform("_s", lambda s: F.substring(F.col("text"), s["start"] + 1, s["end"] - s["start"]))
+    spans = F.transform("_s", lambda s, i: F.struct(i.alias("start"), i.alias("end"), s["label"].alias("label")))
+    return finished(x, tokens=slices, spans=spans).drop("_s")
 
 
 def direct_labels(df: DataFrame, c: Corpus) -> DataFrame:
@@ -256,13 +359,20 @@ def sanitized(df: DataFrame, c: Corpus) -> DataFrame:
     return finished(x, gold=gold, relations=F.array_distinct(good)).drop("_r")
 
 
-def json_fields(df: DataFrame, c: Corpus) -> DataFrame:
-    """text and json: leaves whose path the map knows and that the text holds, as mentions."""
-    leaves = C.flattened_udf(df.sparkSession)(F.col("json"))
-    x = df.withColumn("_l", leaves)
+def json_document(df: DataFrame, c: Corpus) -> DataFrame:
+    """text, json and source: the document's fields as a structure, leaves that name something as mentions, and its triples."""
+    ship_code(df.sparkSession)
+
+    def read(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
+        for columns in batches:
+            yield pd.DataFrame([C.json_example(*row) for row in zip(*columns)], columns=["text", "fields", "mentions", "triples"])
+
+    kind = "struct<text:string,fields:array<struct<name:string,value:array<string>>>,mentions:array<struct<mention:string,category:string>>,triples:array<struct<name:string,head:string,tail:string>>>"
+    x = df.withColumn("_j", F.pandas_udf(read, kind)("text", "json", "source")).withColumn("text", F.col("_j.text"))
     none = F.lit(None).cast("string")
-    held = F.filter("_l", lambda p: (F.btrim(p["value"]) != "") & F.contains(F.col("text"), p["value"]) & F.map_contains_key(table_of(c.labels), p["path"]))
-    return finished(x, gold=F.transform(held, lambda p: mention(p["value"], F.try_element_at(table_of(c.labels), p["path"]), none, none))).drop("_l")
+    gold = F.transform("_j.mentions", lambda m: mention(m["mention"], m["category"], none, none).withField("origin", F.lit("fallback")))
+    structures = F.when(F.col("text") != "", F.array(F.struct(F.coalesce("source", F.lit("")).alias("name"), F.col("_j.fields").alias("fields"))))
+    return finished(x, gold=gold, relations=F.transform("_j.triples", lambda r: relation(r["name"], r["head"], r["tail"])), structures=structures).drop("_j")
 
 
 def instructed(df: DataFrame, c: Corpus) -> DataFrame:
@@ -293,7 +403,7 @@ def multi_task(df: DataFrame, c: Corpus) -> DataFrame:
 
     x = build(df)
     spans = F.when(F.col("family") == "entity", F.col("spans"))
-    return finished(x, tokens=F.col("tokens"), spans=spans, relations=F.col("relations"), classifications=F.col("classifications"))
+    return finished(x, tokens=F.col("tokens"), spans=spans, relations=F.col("relations"), classifications=F.col("classifications"), structures=F.col("structures"))
 
 
 def cloze(df: DataFrame, c: Corpus) -> DataFrame:
@@ -319,46 +429,49 @@ class Corpus:
     no_id: str = "-1"
     pair_predicate: str = ""
     gaps: bool = False
+    #: Types without a predicate keep their own name; relations between equal surfaces stay.
+    native: bool = False
+    same_surface: bool = False
     task: str = ""
     class_names: tuple[str, ...] = ()
     parts: dict[str, str] = field(default_factory=dict)
     disabled: tuple[str, ...] = ("species_context_qualifier",)
 
 
-# The corpora's class names, tags and predicates.
+# The corpora's class names and tasks.
 DECODERS: dict[str, Corpus] = {
     "GlinerBiomed": Corpus(token_spans),
-    "GlinerBiomedPost": Corpus(multi_task),
-    "PileNerBiomed": Corpus(literal_tagged),
-    "PileNerType": Corpus(conversation),
+    "GlinerBiomedPost": Corpus(multi_task, labels=K.GLINER_BIOMED_POST),
+    "PileNerBiomed": Corpus(literal_tagged, labels=K.PILE_NER_BIOMED),
+    "PileNerType": Corpus(conversation, labels=K.PILE_NER_TYPE),
     "SentenceRex": Corpus(tagged_sentence, gazetteer=False),
-    "KnowledgatorBiomed": Corpus(char_spans),
-    "GlinerMultilingual": Corpus(direct_labels, gazetteer=False),
+    "KnowledgatorBiomed": Corpus(char_spans, labels=K.KNOWLEDGATOR_BIOMED),
+    "GlinerMultilingual": Corpus(direct_labels, labels=K.GLINER_MULTILINGUAL, gazetteer=False),
     "PubmedAbstracts": Corpus(token_spans, label_until=" - "),
     "CtkpInterventions": Corpus(recorded_matches, gazetteer=False, labels={"drug": "Drug", "biological": "BiologicalEntity", "dietary_supplement": "Food", "combination_product": "Drug", "device": "Device", "procedure": "Procedure", "radiation": "Procedure", "diagnostic_test": "DiagnosticAid", "behavioral": "BehavioralFeature", "genetic": "GenomicEntity"}),
     "DakpNerExport": Corpus(sanitized, gazetteer=False),
     "Bc5Cdr": Corpus(exact_gold, labels={"Chemical": "ChemicalEntity", "Disease": "Disease"}, id_prefix="MESH:", pair_predicate="causes", gazetteer=False),
-    "MedMentions": Corpus(exact_gold, id_prefix="UMLS:", gazetteer=False),
-    "Chemprot": Corpus(char_spans_linked, labels={"chemical": "ChemicalEntity", "gene-y": "Gene", "gene-n": "GeneFamily"}, predicates={"CPR:1": "part_of", "CPR:2": "regulates", "CPR:4": "decreases_amount_or_activity_of", "CPR:5": "increases_amount_or_activity_of", "CPR:6": "decreases_amount_or_activity_of", "CPR:7": "modulator", "CPR:8": "cofactor", "CPR:9": "is_substrate_of"}, gazetteer=False),
-    "Drugprot": Corpus(char_spans_linked, gazetteer=False),
-    "Biored": Corpus(char_spans_linked, gazetteer=False),
-    "Chia": Corpus(char_spans_linked, predicates={"subsumes": "superclass_of", "has_temporal": "temporally_related_to"}, gazetteer=False),
-    "Docred": Corpus(char_spans_linked, gazetteer=False),
+    "MedMentions": Corpus(exact_gold, labels=K.MED_MENTIONS, gazetteer=False),
+    "Chemprot": Corpus(listed_apart, labels={"chemical": "ChemicalEntity", "gene-y": "Gene", "gene-n": "GeneFamily"}, predicates=K.CHEMPROT_PREDICATES, gazetteer=False),
+    "Drugprot": Corpus(char_spans_linked, labels={"chemical": "ChemicalEntity", "gene": "Gene", "gene-y": "Gene", "gene-n": "GeneFamily"}, predicates=K.DRUGPROT_PREDICATES, same_surface=True, gazetteer=False),
+    "Biored": Corpus(passages_linked, labels=K.BIORED, predicates=K.BIORED_PREDICATES, same_surface=True, gazetteer=False),
+    "Chia": Corpus(parted_linked, labels=K.CHIA, predicates=K.CHIA_PREDICATES, native=True, gazetteer=False),
+    "Docred": Corpus(clusters, labels=K.DOCRED, predicates=K.DOCRED_NAMES, gazetteer=False),
     "FewRel": Corpus(index_gold, gazetteer=False),
     "EhrRel": Corpus(rated_pair, gazetteer=False),
-    "Jnlpba": Corpus(tagged_tokens),
-    "NcbiDisease": Corpus(tagged_tokens, tag_names=("O", "B-Disease", "I-Disease")),
+    "Jnlpba": Corpus(tagged_tokens, tag_names=K.JNLPBA_TAGS, labels=K.JNLPBA),
+    "NcbiDisease": Corpus(tagged_tokens, tag_names=("O", "B-Disease", "I-Disease"), labels={"disease": "Disease"}),
     "Linnaeus": Corpus(passages_gold, labels={"species": "OrganismTaxon"}, gazetteer=False),
     "Osiris": Corpus(passages_gold, labels={"gene": "Gene", "variant": "SequenceVariant"}, gaps=True, gazetteer=False),
-    "Bioleaflets": Corpus(char_spans),
+    "Bioleaflets": Corpus(leaflets, labels=K.BIOLEAFLETS),
     "SyntheticNerAdeTweets": Corpus(brat),
-    "NemotronPii": Corpus(literal_char_gold, gazetteer=False),
-    "JsonExtraction": Corpus(json_fields, gazetteer=False),
+    "NemotronPii": Corpus(literal_slices, labels=K.NEMOTRON_PII, gazetteer=False),
+    "JsonExtraction": Corpus(json_document, gazetteer=False),
     "MedicalEntityJson": Corpus(instructed, gazetteer=False),
     "SuperGlueMultiRC": Corpus(classified, task="answer", class_names=("False", "True"), parts={"paragraph": "", "question": "Question: ", "answer": "Answer: "}, gazetteer=False),
     "SuperGlueRecord": Corpus(cloze, task="placeholder", gazetteer=False),
     "PubmedQa": Corpus(classified, task="final_decision", class_names=("no", "yes", "maybe"), parts={"question": "", "context": ""}, gazetteer=False),
-    "MedQa": Corpus(classified, task="answer", class_names=("A", "B", "C", "D"), parts={"question": "", "options": ""}, gazetteer=False),
+    "MedQa": Corpus(optioned, task="medical multiple-choice question answering", class_names=("A", "B", "C", "D"), gazetteer=False),
     "GadBlurb": Corpus(classified, task="association", class_names=("0", "1"), parts={"sentence": ""}, gazetteer=False),
 }
 
@@ -368,4 +481,4 @@ def decode(df: DataFrame, name: str, label_map: dict[str, str] | None = None, pr
     if name not in DECODERS:
         raise ValueError(f"no decoder {name}")
     c = DECODERS[name]
-    return c.builder(df, replace(c, labels={**c.labels, **(label_map or {})}, predicates={**c.predicates, **(predicates or {})}))
+    return c.builder(once(df), replace(c, labels={**c.labels, **(label_map or {})}, predicates={**c.predicates, **(predicates or {})}))

@@ -118,10 +118,11 @@ class _Reading:
 
     def __init__(self, g: Gazetteer, tokens: Sequence[str], spans: Sequence[Span]):
         self.g, self.tokens, self.spans = g, tokens, spans
-        self.low = [t.lower() for t in tokens]
+        # a null token parts two sections of a document
+        self.low = [(t or "").lower() for t in tokens]
         self.breaks = [0]
         for t in tokens:
-            self.breaks.append(self.breaks[-1] + (t in BREAKS))
+            self.breaks.append(self.breaks[-1] + (t is None or t in BREAKS))
         self.by_end = sorted(range(len(spans)), key=lambda i: (spans[i][1], -i))
         self.ends = [spans[i][1] for i in self.by_end]
         self.by_start = sorted(range(len(spans)), key=lambda i: (spans[i][0], i))
@@ -140,7 +141,7 @@ class _Reading:
         return self.spans[self.by_start[i]] if i < len(self.starts) else None
 
     def surface(self, s: Span) -> str:
-        return " ".join(self.tokens[s[0] : s[1] + 1])
+        return " ".join(t for t in self.tokens[s[0] : s[1] + 1] if t is not None)
 
     def hollow(self, s: Span) -> bool:
         return not self.surface(s).strip(string.punctuation).strip()

@@ -14,10 +14,11 @@ from corpusmill.operators import decoders, dedup, lexicon, mining
 from corpusmill.operators import filters as R
 from corpusmill.operators import weights as W
 from corpusmill.operators.gazetteer import RELATION, Gazetteer, relations
+from corpusmill.plans.runtime import written
 from corpusmill.sources import readers
 
 ENTITIES = "array<struct<label:string,mentions:array<string>,description:string>>"
-EXAMPLE = ("text", "weight", "entities", "classifications", "relations")
+EXAMPLE = ("text", "weight", "entities", "classifications", "structures", "relations")
 
 
 @dataclass
@@ -30,11 +31,16 @@ class Tables:
     gazetteer: Gazetteer
 
 
+def numbered(rows: DataFrame) -> DataFrame:
+    """Rows with a doc_id of their own, written: branches that meet by it read the same numbers, whatever is run again."""
+    return written(rows.drop("doc_id").withColumn("doc_id", F.monotonically_increasing_id()), "rows")
+
+
 def examples_of(spark: SparkSession, rows: DataFrame, name: str, tables: Tables, label_map: dict[str, str] | None = None) -> DataFrame:
-    """Decoded rows as examples: text, weight, entities, classifications, relations, row_key."""
-    keyed = rows.withColumn("doc_id", F.expr("uuid()")) if "doc_id" not in rows.columns else rows
+    """Decoded rows as examples: text, weight, entities, classifications, structures, relations, row_key."""
+    keyed = numbered(rows)
     d = decoders.decode(keyed, name, label_map)
-    d = d.select("doc_id", "row_key", "weight", "text", "tokens", "spans", "gold", "relations", "classifications")
+    d = d.select("doc_id", "row_key", "weight", "text", "tokens", "spans", "gold", "relations", "classifications", "structures")
     marks = d.select("doc_id", "tokens", F.posexplode("spans").alias("span_index", "s")).select("doc_id", "span_index", S.surface(F.col("tokens"), F.col("s.start"), F.col("s.end")).alias("mention"), F.col("s.label").alias("label"), "s.start", "s.end")
     found = lexicon.resolve(lexicon.keyed(marks, "mention", "key"), tables.ranked, tables.closure, {**decoders.DECODERS[name].labels, **(label_map or {})})
     found = found.withColumn("category", F.when(F.col("origin") == "raw", S.pascal_label(F.col("category"))).otherwise(F.col("category")))
@@ -51,7 +57,7 @@ def examples_of(spark: SparkSession, rows: DataFrame, name: str, tables: Tables,
 
 def mined_examples(spark: SparkSession, rows: DataFrame, tables: Tables, longest: int = 6, with_relations: bool = True) -> DataFrame:
     """Texts with entities from the dictionary, and relations between them (evidence: distant)."""
-    keyed = rows.withColumn("doc_id", F.expr("uuid()")) if "doc_id" not in rows.columns else rows
+    keyed = numbered(rows)
     m = mining.mine(keyed, tables.exact, longest=longest).join(keyed.select("doc_id", "row_key", "weight"), "doc_id")
     flat = m.select("doc_id", F.posexplode("mined").alias("span_index", "g")).select("doc_id", "span_index", F.lit(1).alias("rank"), F.col("g.surface").alias("mention"), "g.category", "g.curie", "g.preferred_name")
     out = m.join(lexicon.group_entities(flat), "doc_id", "left").withColumn("entities", F.coalesce("entities", F.array().cast(ENTITIES)))
@@ -59,7 +65,7 @@ def mined_examples(spark: SparkSession, rows: DataFrame, tables: Tables, longest
     rel = relations(spark, tables.gazetteer, F.col("tokens"), F.col("placed")) if with_relations else F.array().cast(f"array<{RELATION}>")
     out = out.withColumn("placed", placed).withColumn("found", rel)
     distant = F.transform(F.filter("found", lambda r: F.get(r["fields"], F.lit(0))["value"] != F.get(r["fields"], F.lit(1))["value"]), lambda r: r.withField("evidence", F.lit("distant")).withField("description", F.lit(None).cast("string")))
-    return out.select("row_key", F.array_join("tokens", " ").alias("text"), "weight", "entities", F.array().cast(decoders.CLASSES).alias("classifications"), distant.alias("relations"))
+    return out.select("row_key", F.array_join("tokens", " ").alias("text"), "weight", "entities", F.array().cast(decoders.CLASSES).alias("classifications"), F.array().cast(decoders.STRUCTURES).alias("structures"), distant.alias("relations"))
 
 
 def build(spark: SparkSession, sources: Sequence[readers.Source], tables: Tables, trusts: dict[str, float] | None = None, edge_trusts: dict[str, dict[str, float]] | None = None, mode: str = "near", given: dict[str, DataFrame] | None = None) -> DataFrame:

@@ -15,6 +15,7 @@ from corpusmill.operators import dedup as D
 from corpusmill.operators import families, gazetteer, lexicon, mining
 from corpusmill.operators import filters as R
 from corpusmill.operators import weights as W
+from corpusmill.plans import decoder_queries
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -579,6 +580,12 @@ def group_entities(spark, sf_dir):
     return e.select(F.col("doc_id").alias("l_orderkey"), "e.label", F.array_join("e.mentions", ",").alias("mentions"))
 
 
+# --- corpus decoders ---
+
+QUERIES.update(decoder_queries.QUERIES)
+ORACLES.update(decoder_queries.ORACLES)
+
+
 def FLAGSHIP(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Filter, weigh and deduplicate the documents."""
     kept = R.kept(table(spark, sf_dir, "documents"), ALL_RULES, ["text"])

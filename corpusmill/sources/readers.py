@@ -27,7 +27,11 @@ class Source:
     sample_rate: float = 1.0
     limit: int | None = None
     read_shards: int = 1
+    #: Which of read_shards disjoint parts this source reads; None reads all.
+    shard: int | None = None
     schema: str | None = None
+    #: Tasks to deal the rows to before they are decoded, where the files have too few splits.
+    fan_out: int | None = None
     weight: float = 1.0
     task: str = ""
     outputs: tuple[str, ...] = ("entities",)
@@ -37,6 +41,8 @@ class Source:
             raise ValueError(f"no source format {self.format}")
         if self.read_shards > 1 and self.format in UNSHARDABLE:
             raise ValueError(f"{self.format} sources can't be read in shards")
+        if self.shard is not None and not 0 <= self.shard < self.read_shards:
+            raise ValueError("no such shard")
         if self.read_shards < 1 or not 0 <= self.sample_rate <= 1:
             raise ValueError("read_shards is at least 1, sample_rate from 0 to 1")
         if self.format == "json" and not self.schema:
@@ -72,8 +78,14 @@ def scan(spark: SparkSession, s: Source) -> DataFrame:
 
 def rows(spark: SparkSession, s: Source, table: DataFrame | None = None) -> DataFrame:
     """All candidate rows with drop_reason and row_key: matched, projected and judged, none dropped yet."""
-    df = R.match_on(table if table is not None else scan(spark, s), s.match_on)
+    df = table if table is not None else scan(spark, s)
+    if s.shard is not None:
+        # by content, so that the parts are the same however the files are split
+        df = R.shard(df, F.struct(*df.columns), s.read_shards, s.shard)
+    df = R.match_on(df, s.match_on)
     df = R.project(df, list(s.columns)) if s.columns else df
+    if s.fan_out:
+        df = df.repartition(s.fan_out)
     judged = R.with_drop_reason(df, s.filters, list(df.columns))
     return judged.withColumn("row_key", F.lit(s.key)).withColumn("weight", F.lit(float(s.weight)))
 
@@ -87,8 +99,8 @@ def stream(spark: SparkSession, s: Source, table: DataFrame | None = None) -> Da
 
 
 def shards(s: Source) -> list[Source]:
-    """The declared fan-out; Spark splits files by itself, so this serves readers that must be told."""
-    return [replace(s, read_shards=1) for _ in range(s.read_shards)]
+    """The declared fan-out: disjoint parts whose union is the source. Spark splits files by itself, so this serves jobs that run the parts apart."""
+    return [replace(s, shard=i) for i in range(s.read_shards)]
 
 
 def flatten_relations(table: DataFrame, column: str, value_schema: str) -> DataFrame:
