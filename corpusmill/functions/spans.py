@@ -1,4 +1,4 @@
-"""Span algebra as array expressions; greedy_longest is an Arrow function.
+"""Span algebra as array expressions; greedy_longest and bridged are Arrow functions.
 
 Token spans are array<struct<start, end, label>> with the end inclusive; character spans have an exclusive end; tokens with
 places are array<struct<token, start, end>>.
@@ -94,31 +94,40 @@ def without_prefix(value: Column, prefix: str = "biolink:") -> Column:
 
 
 def bridged(tokens: Column, spans: Column, text: Column) -> Column:
-    """Character spans as token spans.
+    """Character spans as token spans, by an Arrow function that finds each end by bisection.
 
     Out of the tokens' extent: dropped. White space at either end is passed over, what is then empty is dropped, and the
-    rest becomes the run of all tokens that it touches. Order is kept, nothing is merged.
+    rest becomes the run of all tokens that it touches. Order is kept, nothing is merged. Null in, null out.
     """
 
-    def of(t: Column) -> Column:
-        extent = F.coalesce(F.try_element_at(t, F.lit(-1))["end"], F.lit(0))
-        inside = F.filter(spans, lambda s: (s["start"] >= 0) & (s["end"] <= extent) & (s["end"] > s["start"]))
-
-        def trimmed(s: Column) -> Column:
-            piece = F.substring(text, s["start"] + 1, s["end"] - s["start"])
-            left = F.length(piece) - F.length(F.regexp_replace(piece, "^" + SPACES, ""))
-            right = F.length(piece) - F.length(F.regexp_replace(piece, SPACES + "$", ""))
-            return F.struct((s["start"] + left).alias("start"), (s["end"] - right).alias("end"), s["label"].alias("label"))
-
-        tight = F.filter(F.transform(inside, trimmed), lambda s: s["end"] > s["start"])
-
-        def snapped(s: Column) -> Column:
-            touched = F.filter(F.transform(t, lambda x, i: F.when((x["end"] > s["start"]) & (x["start"] < s["end"]), i)), lambda i: i.isNotNull())
-            return _span(F.array_min(touched), F.array_max(touched), s["label"])
-
-        return F.filter(F.transform(tight, snapped), lambda s: s["start"].isNotNull())
+    def snap(placed: pa.Array, marked: pa.Array, texts: pa.Array) -> pa.Array:
+        def sides(lists: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+            flat, sizes = lists.flatten(), pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
+            places = (pc.fill_null(pc.struct_field(flat, name), -1).to_numpy(zero_copy_only=False).astype(np.int64) for name in ("start", "end"))
+            return *places, np.append(0, np.cumsum(sizes))
+
+        (t0, t1, t_at), (s0, s1, s_at) = sides(placed), sides(marked)
+        labels = pc.struct_field(marked.flatten(), "label")
+        kept, first, last, counts = [], [], [], [0]
+        for row, whole in enumerate(texts.to_pylist()):
+            starts, ends = t0[t_at[row] : t_at[row + 1]], t1[t_at[row] : t_at[row + 1]]
+            extent, whole = int(ends[-1]) if len(ends) else 0, whole or ""
+            for k in range(s_at[row], s_at[row + 1]):
+                a, b = int(s0[k]), int(s1[k])
+                if 0 <= a < b <= extent:
+                    piece = whole[a:b]
+                    a, b = a + len(piece) - len(piece.lstrip()), b - len(piece) + len(piece.rstrip())
+                    i, j = int(np.searchsorted(ends, a, "right")), int(np.searchsorted(starts, b, "left")) - 1
+                    if a < b and i <= j:
+                        kept.append(k)
+                        first.append(i)
+                        last.append(j)
+            counts.append(len(kept))
+        made = pa.StructArray.from_arrays([pa.array(first, pa.int32()), pa.array(last, pa.int32()), labels.take(pa.array(kept, pa.int64()))], names=["start", "end", "label"])
+        return pa.ListArray.from_arrays(pa.array(counts, pa.int32()), made, mask=pc.or_(placed.is_null(), marked.is_null()))
 
-    return let(tokens, of)
+    typed = F.transform(spans, lambda s: _span(s["start"], s["end"], s["label"]))
+    return F.arrow_udf(snap, f"array<{SPAN}>")(tokens, typed, text)
 
 
 def greedy_longest(spans: Column) -> Column:

@@ -130,9 +130,10 @@ def brat(df: DataFrame, c: Corpus) -> DataFrame:
 
 def char_spans_linked(df: DataFrame, c: Corpus) -> DataFrame:
     """text, entities (array<struct<id, type, start, end>>) and rels (array<struct<type, arg1, arg2>>): entities to be resolved, gold relations by id."""
-    x = df.withColumn("_t", triples(df.sparkSession, F.col("text")))
     # the id rides in the label, so that a span that is dropped can't shift the others' ids
-    marked = lambda e: F.transform(e, lambda m: F.struct(m["start"].alias("start"), m["end"].alias("end"), m["id"].alias("label")))
+    marked = F.transform("entities", lambda m: F.struct(m["start"].alias("start"), m["end"].alias("end"), m["id"].alias("label")))
+    x = once(df).withColumn("_t", triples(df.sparkSession, F.col("text")))
+    x = x.withColumn("_b", S.bridged(F.col("_t"), marked, F.col("text")))
     kind = lambda e, i: F.get(F.filter(e, lambda m: m["id"] == i), F.lit(0))["type"]
 
     def made(entities: Column, rels: Column, tokens: Column, placed: Column) -> Column:
@@ -141,8 +142,8 @@ def char_spans_linked(df: DataFrame, c: Corpus) -> DataFrame:
         return let(named, lambda m: F.struct(tokens.alias("tokens"), spans.alias("spans"), linked(rels, m, c).alias("relations")))
 
     # each part is evaluated once: what stands in a lambda would be evaluated for every element
-    whole = let(F.col("entities"), lambda e: let(F.col("rels"), lambda r: let(F.transform("_t", lambda t: t["token"]), lambda k: let(S.bridged(F.col("_t"), marked(e), F.col("text")), lambda b: made(e, r, k, b)))))
-    x = x.withColumn("_x", whole).drop("_t", "entities", "rels")
+    whole = let(F.col("entities"), lambda e: let(F.col("rels"), lambda r: let(F.transform("_t", lambda t: t["token"]), lambda k: made(e, r, k, F.col("_b")))))
+    x = x.withColumn("_x", whole).drop("_t", "_b", "entities", "rels")
     x = x.withColumn("text", S.join_tokens(F.col("_x.tokens")))
     return finished(x, tokens=F.col("_x.tokens"), spans=F.col("_x.spans"), relations=F.col("_x.relations")).drop("_x")
 

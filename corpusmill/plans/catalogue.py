@@ -16,6 +16,7 @@ from corpusmill.operators import families, gazetteer, lexicon, mining
 from corpusmill.operators import filters as R
 from corpusmill.operators import weights as W
 from corpusmill.plans import decoder_queries
+from corpusmill.sources import readers
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -82,6 +83,17 @@ def shard_union_equals_whole(spark, sf_dir):
     return out
 
 
+@query("select o_orderkey, o_orderstatus, 'orders' as row_key, cast(1 as double) as weight from orders where o_orderstatus in ('F', 'O')")
+def source_shards(spark, sf_dir):
+    """The parts of a declared fan-out, read one by one, are the source."""
+    whole = readers.Source("parquet", f"{sf_dir}/orders.parquet", "orders", columns=("o_orderkey", "o_orderstatus"), match_on={"o_orderstatus": ["F", "O"]}, read_shards=4)
+    out = None
+    for s in readers.shards(whole):
+        part = readers.stream(spark, s)
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 @query("select cast(l_orderkey % 4 as bigint) as shard, cast(count(*) as bigint) as n_rows from lineitem group by 1")
 def shard_mod(spark, sf_dir):
     return table(spark, sf_dir, "lineitem").groupBy((F.col("l_orderkey") % 4).cast("long").alias("shard")).agg(F.count("*").alias("n_rows"))
@@ -223,16 +235,16 @@ def dedup_off(spark, sf_dir):
 
 SQL_SHINGLES = r"""sw as (select *, list_filter(regexp_split_to_array(lower(text), '\s+'), lambda x: x <> '') as w from o),
 sh as (select *, list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) as g from sw where len(w) >= 10)"""
-_PERMS = 16
+_ROWS = D.PERMUTATIONS // D.BANDS
 
 
 def _sql_hashes() -> str:
-    listed = ", ".join(f"({i}, {a}::hugeint, {b}::hugeint)" for i, (a, b) in enumerate(D.permutations(_PERMS)))
+    listed = ", ".join(f"({i}, {a}::hugeint, {b}::hugeint)" for i, (a, b) in enumerate(D.permutations()))
     return f"""{SQL_ONCE}, {SQL_SHINGLES},
 h as (select doc_id, weight, cid, cast('0x' || substr(md5(x), 1, 15) as bigint)::hugeint as h from (select doc_id, weight, cid, unnest(g) as x from sh)),
 perm(i, a, b) as (values {listed}),
 sig as (select doc_id, weight, cid, i, cast(min((h * a + b) % {D.PRIME}::hugeint) as bigint) as v from h, perm group by all),
-band as (select doc_id, weight, cid, i // 4 as band, md5(string_agg(cast(v as varchar), ',' order by i)) as key from sig group by doc_id, weight, cid, i // 4),
+band as (select doc_id, weight, cid, i // {_ROWS} as band, md5(string_agg(cast(v as varchar), ',' order by i)) as key from sig group by doc_id, weight, cid, i // {_ROWS}),
 best as (select *, row_number() over (partition by band, key order by weight desc, cid) as r from band),
 lost as (select distinct doc_id from best where r > 1)"""
 
@@ -245,7 +257,7 @@ def shingles_explode(spark, sf_dir):
 
 def _signed(spark, sf_dir):
     once = D.exact(_examples(spark, sf_dir), "text", "weight", "content_id").where(F.size(X.words(F.col("text"))) >= D.LEAST_TOKENS)
-    return D.with_signature(once.select("doc_id", "text"), F.transform(D.shingles(F.col("text")), D.hash60), _PERMS).select("doc_id", "sig")
+    return D.with_signature(once.select("doc_id", "text"), F.transform(D.shingles(F.col("text")), D.hash60)).select("doc_id", "sig")
 
 
 @query(f"{_sql_hashes()} select doc_id, string_agg(cast(v as varchar), ',' order by i) as sig from sig group by doc_id")
@@ -255,11 +267,11 @@ def minhash_signature(spark, sf_dir):
 
 @query(f"{_sql_hashes()} select doc_id, cast(band as bigint) as band, key from band")
 def lsh_bands(spark, sf_dir):
-    return _signed(spark, sf_dir).select("doc_id", F.explode(D.bands(F.col("sig"), _PERMS, 4)).alias("b")).select("doc_id", F.col("b.band").cast("long").alias("band"), "b.key")
+    return _signed(spark, sf_dir).select("doc_id", F.explode(D.bands(F.col("sig"))).alias("b")).select("doc_id", F.col("b.band").cast("long").alias("band"), "b.key")
 
 
 def _near(spark, sf_dir):
-    return D.dedup(_examples(spark, sf_dir), "near", n=_PERMS, count=4)
+    return D.dedup(_examples(spark, sf_dir), "near")
 
 
 @query(f"{_sql_hashes()} select doc_id, weight from o where doc_id not in (select doc_id from lost)")
@@ -270,16 +282,10 @@ def near_dedup(spark, sf_dir):
 @query(f"{_sql_hashes()} select cast((select count(*) from o) as bigint) as near_in, cast((select count(*) from lost) as bigint) as near_dropped")
 def near_counts(spark, sf_dir):
     once = D.exact(_examples(spark, sf_dir), "text", "weight", "content_id")
-    lost = D.near_losers(once, "text", "weight", "content_id", _PERMS, 4)
+    lost = D.near_losers(once, "text", "weight", "content_id")
     return once.agg(F.count("*").alias("near_in")).crossJoin(lost.agg(F.count("*").alias("near_dropped")))
 
 
-@query()
-def near_dedup_full(spark, sf_dir):
-    """All 128 permutations in 8 bands."""
-    return D.dedup(_examples(spark, sf_dir), "near").select("doc_id", "weight")
-
-
 @query(r"""
 with w as (select doc_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '\s+'), lambda x: x <> '') as w from documents),
 d as (select distinct doc_id, unnest(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) as g from w),
@@ -472,22 +478,22 @@ def phrase_match_positions(spark, sf_dir):
     return gazetteer.phrase_matches(t, F.col("w"), rows).select("doc_id", F.col("start").cast("long").alias("start"), F.col("end").cast("long").alias("end"), "key")
 
 
-_SENTENCES = (
-    "Aspirin treats headache in patients with migraine .",
-    "Metformin did not prevent diabetes ; insulin treats diabetes twice daily .",
-    "TP53 mutation is associated with lung cancer .",
-    "Imatinib inhibits BCR-ABL activity in liver .",
-    "Smoking causes lung cancer , and aspirin failed to prevent headache .",
-)
-_MENTIONS = {"Aspirin": "Drug", "aspirin": "Drug", "headache": "Disease", "migraine": "Disease", "Metformin": "Drug", "diabetes": "Disease", "insulin": "Drug", "TP53": "Gene", "cancer": "Disease", "Imatinib": "Drug", "BCR-ABL": "Gene", "liver": "GrossAnatomicalStructure", "Smoking": "Activity"}
+_CUES = ", ".join(f"[{', '.join(repr(w) for w in c.split())}]" for c in V.NEGATION_CUES)
 
 
-@query()
+@query(decoder_queries.SQL_BASE + f""", cue as (select unnest([{_CUES}]) as c),
+no as (select t.doc_id, i + len(c) as past from t join cue on c[1] = x and w[i + 1:i + len(c)] = c),
+p as (select doc_id, i, w, n, (i - 1) // 7 * 7 as head, (i // 7 + 1) * 7 as tail from t where x = 'and' and i > 0),
+f as (select doc_id, w, head, tail, min(i) as i from p where tail < n and w[head + 1] <> w[tail + 1] group by all)
+select f.doc_id, head, tail, case when min(past) is null then '' else 'not_' end || 'linked_with' as name, min(past) is not null as negated, any_value(w)[head + 1] as a, any_value(w)[tail + 1] as b
+from f left join no on no.doc_id = f.doc_id and past <= f.i group by f.doc_id, head, tail""".replace("select f.doc_id, head, tail, case", "select f.doc_id, case"))
 def gazetteer_relations(spark, sf_dir):
-    rows = [(i, s.split(), [{"start": k, "end": k, "label": _MENTIONS[w]} for k, w in enumerate(s.split()) if w in _MENTIONS]) for i, s in enumerate(_SENTENCES)]
-    docs = spark.createDataFrame(rows, "id long, tokens array<string>, spans array<struct<start:int,end:int,label:string>>")
-    g = gazetteer.Gazetteer({c: frozenset({c}) | ({"AnatomicalEntity"} if c == "GrossAnatomicalStructure" else set()) for c in set(_MENTIONS.values())})
-    return docs.select("id", F.explode(gazetteer.relations(spark, g, F.col("tokens"), F.col("spans"))).alias("r")).select("id", "r.name", "r.negated", F.get("r.fields", F.lit(0))["value"].alias("head"), F.get("r.fields", F.lit(1))["value"].alias("tail"))
+    """Phrases between mentions in all documents: every seventh word is one, and a further phrase is declared."""
+    d = decoder_queries.base(spark, sf_dir)
+    spans = F.transform(decoder_queries.places(7, "w"), lambda p: F.struct(p["i"].alias("start"), p["i"].alias("end"), F.when(p["i"] % 2 == 0, "Drug").otherwise("Disease").alias("label")))
+    g = gazetteer.Gazetteer({c: frozenset({c}) for c in ("Drug", "Disease")}, extra={"linked_with": ["and"]})
+    found = d.select("doc_id", F.explode(gazetteer.relations(spark, g, F.col("w"), spans)).alias("r")).where("r.name like '%linked_with'")
+    return found.select("doc_id", "r.name", "r.negated", F.get("r.fields", F.lit(0))["value"].alias("a"), F.get("r.fields", F.lit(1))["value"].alias("b"))
 
 
 @query("""
@@ -508,15 +514,29 @@ def nearest_before_after(spark, sf_dir):
 # --- spans and decoding ---
 
 
-@query()
+@query(r"""
+with b as (select doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '\s+'), lambda x: x <> '') as w from documents),
+t as (select doc_id, unnest(w) as x, generate_subscripts(w, 1) - 1 as i from b),
+e as (select doc_id, i, case when regexp_matches(x, '^[A-Z]') then 'B-' || lower(x[1:1]) when length(x) % 3 = 0 then 'I-' || lower(x[1:1]) else 'O' end as tag from t),
+ent as (select doc_id, i, tag[1:1] as p, tag[3:] as label from e where tag <> 'O'),
+f as (select *, case when p = 'B' or lag(label) over (partition by doc_id order by i) is distinct from label then 1 else 0 end as fresh from ent),
+g as (select *, sum(fresh) over (partition by doc_id order by i) as g from f)
+select doc_id, cast(min(i) as bigint) as start, cast(max(i) as bigint) as "end", any_value(label) as label from g group by doc_id, g""")
 def iob_decode(spark, sf_dir):
     w = X.words(F.coalesce("text", F.lit("")))
     tags = F.transform(w, lambda x: F.when(x.rlike("^[A-Z]"), F.concat(F.lit("B-"), F.lower(F.substring(x, 1, 1)))).when(F.length(x) % 3 == 0, F.concat(F.lit("I-"), F.lower(F.substring(x, 1, 1)))).otherwise("O"))
     t = table(spark, sf_dir, "documents")
-    return t.select("doc_id", F.explode(S.iob_spans(tags)).alias("s")).select("doc_id", "s.*")
+    return t.select("doc_id", F.explode(S.iob_spans(tags)).alias("s")).select("doc_id", F.col("s.start").cast("long").alias("start"), F.col("s.end").cast("long").alias("end"), "s.label")
 
 
-@query()
+@query(r"""
+with d as (select doc_id, text, string_split(text, ' ') as k from documents where text is not null),
+u as (select doc_id, unnest(k) as x, generate_subscripts(k, 1) - 1 as i from d),
+t as (select doc_id, i, sum(length(x) + 1) over (partition by doc_id order by i) - length(x) - 1 as a, sum(length(x) + 1) over (partition by doc_id order by i) - 1 as b from u),
+p(s, e, label) as (values (0, 5, 'x'), (3, 14, 'y'), (900, 910, 'z'), (-1, 4, 'u')),
+m as (select doc_id, s, e, label, substr(text, s + 1, e - s) as piece from d, p where s >= 0 and e <= length(text)),
+q as (select doc_id, label, s + length(piece) - length(regexp_replace(piece, '^\s+', '')) as s, e - length(piece) + length(regexp_replace(piece, '\s+$', '')) as e from m)
+select q.doc_id, cast(min(i) as bigint) as start, cast(max(i) as bigint) as "end", label from q join t on t.doc_id = q.doc_id and t.b > q.s and t.a < q.e where q.s < q.e group by q.doc_id, label""")
 def char_to_token_bridge(spark, sf_dir):
     t = table(spark, sf_dir, "documents")
     def placed(w):
@@ -526,7 +546,8 @@ def char_to_token_bridge(spark, sf_dir):
 
     toks = X.let(F.split("text", " "), placed)
     spans = F.array(*(F.struct(F.lit(a).alias("start"), F.lit(b).alias("end"), F.lit(x).alias("label")) for a, b, x in ((0, 5, "x"), (3, 14, "y"), (900, 910, "z"), (-1, 4, "u"))))
-    return t.select("doc_id", "text", toks.alias("toks")).select("doc_id", F.explode(S.bridged(F.col("toks"), spans, F.col("text"))).alias("s")).select("doc_id", "s.*")
+    placed = t.select("doc_id", "text", toks.alias("toks")).select("doc_id", F.explode(S.bridged(F.col("toks"), spans, F.col("text"))).alias("s"))
+    return placed.select("doc_id", F.col("s.start").cast("long").alias("start"), F.col("s.end").cast("long").alias("end"), "s.label")
 
 
 @query("""
@@ -548,7 +569,15 @@ def json_field_decode(spark, sf_dir):
     return table(spark, sf_dir, "events").select("event_id", F.from_json("props", "k bigint")["k"].alias("k"))
 
 
-@query()
+_ENDS = " ".join(f"when suffix(l, '{e}') then '{label}'" for e, label in V.SUFFIXES)
+_LAST = " ".join(f"when '{w}' then '{label}'" for w, label in V.TAILS)
+
+
+@query(rf"""
+with b as (select distinct doc_id, unnest(list_filter(regexp_split_to_array(coalesce(text, ''), '\s+'), lambda x: x <> '')) as w from documents),
+m as (select *, lower(w) as l from b),
+f as (select doc_id, w, case when length(l) >= {V.SUFFIX_LEAST} and l not in ({', '.join(repr(x) for x in V.SUFFIX_STOP)}) then case {_ENDS} end end as label from m union select doc_id, w, case l {_LAST} end from m)
+select doc_id, w, label from f where label is not null""")
 def secondary_labels(spark, sf_dir):
     w = table(spark, sf_dir, "documents").select("doc_id", F.explode(F.array_distinct(X.words(F.coalesce("text", F.lit(""))))).alias("w"))
     return w.select("doc_id", "w", F.explode(S.secondary_labels(F.col("w"))).alias("label"))
@@ -564,13 +593,19 @@ def family_dispatch(spark, sf_dir):
     return table(spark, sf_dir, "events").select("event_id", families.family(spans).alias("family"))
 
 
-@query()
+@query(decoder_queries.SQL_BASE + """, pos as (select doc_id, w, n from s where n >= 5 and w[1] <> w[4]),
+c as (select doc_id, w, unnest([0, 1, 2, 3, 4]) as k, unnest([w[2], w[2], w[1], w[3], w[5]]) as a, unnest([w[3], w[3], w[4], w[2], w[3]]) as b from pos),
+d as (select doc_id, a, b, min(k) as k from c where a <> b and not (a = w[1] and b = w[4]) group by doc_id, a, b),
+r as (select *, row_number() over (partition by doc_id order by k) as r from d)
+select doc_id, 'met' as name, w[1] as head, w[4] as tail, 'asserted' as evidence from pos union all select doc_id, 'not_met', a, b, 'sampled_negative' from r where r <= 2""")
 def negatives_capped(spark, sf_dir):
-    one = spark.createDataFrame(
-        [(1, "Ann met Bob and Cid in Rome".split(), [{"start": 2, "end": 2, "label": "Ann <> met"}], ["Bob <> met <> Cid", "Cid <> met <> Ann", "Bob <> met <> Rome", "Ann <> met <> Bob"])],
-        "id long, tokens array<string>, spans array<struct<start:int,end:int,label:string>>, negatives array<string>",
-    )
-    return families.build(one).select("id", F.explode("relations").alias("r")).select("id", "r.name", "r.negated", "r.evidence")
+    """Of five listed negatives of each document, at most two for its one relation."""
+    d, w = decoder_queries.base(spark, sf_dir).where("n >= 5"), decoder_queries.word
+    negative = lambda a, b: F.concat_ws(" <> ", w(a), F.lit("Met"), w(b))
+    spans = F.array(F.struct(F.lit(3).alias("start"), F.lit(3).alias("end"), F.concat(w(0), F.lit(" <> met")).alias("label")))
+    rows = d.select("doc_id", F.col("w").alias("tokens"), spans.alias("spans"), F.array(negative(1, 2), negative(1, 2), F.lit("no negative"), negative(0, 3), negative(2, 1), negative(4, 2)).alias("negatives"))
+    value = lambda i: F.get("r.fields", F.lit(i))["value"]
+    return families.build(rows).select("doc_id", F.explode("relations").alias("r")).select("doc_id", "r.name", value(0).alias("head"), value(1).alias("tail"), "r.evidence")
 
 
 @query("select l_orderkey, l_returnflag as label, string_agg(cast(l_partkey as varchar), ',' order by k, cast(l_partkey as varchar)) as mentions from (select l_orderkey, l_returnflag, l_partkey, min(l_linenumber) as k from lineitem group by 1, 2, 3) group by 1, 2")
