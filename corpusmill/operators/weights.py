@@ -88,6 +88,25 @@ def suggestions(edges: DataFrame, below: float = 0.99) -> DataFrame:
     return edges.where((F.col("n_verdicts") > 0) & (F.col("trust") < below)).orderBy("source", "predicate")
 
 
+def trust_report(answers: DataFrame) -> DataFrame:
+    """(line): JSON of each question, then of each source's summary. part orders the two."""
+    asked = answers.select(F.lit(0).alias("part"), F.to_json(F.struct("source", "id", "kind", "predicate", "query", "hits", "verdict", "points")).alias("line"))
+    per = source_trust(answers).withColumn("reason", unscored_reason(F.col("n_queries"), F.col("n_errored")))
+    return asked.unionByName(per.select(F.lit(1).alias("part"), F.to_json(F.struct(F.struct(*per.columns).alias("summary"))).alias("line")))
+
+
+def suggested(sources: list, edges: list) -> str:
+    """The trust settings to declare, as YAML. sources: (source, trust); edges: (source, predicate, trust)."""
+    out = ["trust:"]
+    for source, trust in sorted((s, t) for s, t in sources if t is not None):
+        out.append(f"  {source}: {trust:.2f}")
+    if edges:
+        out.append("edge_trust:")
+        for source in sorted({s for s, _, _ in edges}):
+            out += [f"  {source}:", *(f"    {p}: {t:.2f}" for s, p, t in sorted(edges) if s == source)]
+    return "\n".join(out)
+
+
 def unscored_reason(n_queries: Column, n_errored: Column) -> Column:
     return F.when(n_queries == 0, "nothing to validate").when(n_errored == n_queries, "all queries errored").when(n_errored > 0, "some queries errored")
 

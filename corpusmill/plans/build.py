@@ -68,12 +68,41 @@ def mined_examples(spark: SparkSession, rows: DataFrame, tables: Tables, longest
     return out.select("row_key", F.array_join("tokens", " ").alias("text"), "weight", "entities", F.array().cast(decoders.CLASSES).alias("classifications"), F.array().cast(decoders.STRUCTURES).alias("structures"), distant.alias("relations"))
 
 
+def tables_of(spark: SparkSession, names: DataFrame, parents: dict[str, str | None], descriptions: dict[str, str] | None = None, extra: dict[str, list[str]] | None = None) -> Tables:
+    """Tables of a dictionary of names (surface, curie, preferred_name, category, taxon), the class tree (class to parent) and the gazetteer's additions."""
+    lex = lexicon.keyed(names, "preferred_name", "name_key")
+    lex = lexicon.keyed(lex, "surface", "term").where("term is not null").withColumn("term_key", F.col("term"))
+    closure = lexicon.closure_of(spark, parents)
+    ancestors = {r["class"]: frozenset(r["ancestors"]) for r in closure.collect()}
+    return Tables(lexicon.fan_out(lexicon.ranked(lex)), mining.exact_lexicon(lex), closure, Gazetteer(ancestors, descriptions or {}, extra or {}))
+
+
+def decoded(spark: SparkSession, s: readers.Source, rows: DataFrame, tables: Tables) -> DataFrame:
+    """A source's rows by the task that it declares."""
+    return mined_examples(spark, rows, tables) if s.task == "fullmap" else examples_of(spark, rows, s.task, tables)
+
+
+def sampled(spark: SparkSession, sources: Sequence[readers.Source], tables: Tables, n: int, only: str | None = None, given: dict[str, DataFrame] | None = None) -> DataFrame:
+    """(source, id, entities, relations) of at most n rows of each source, made as the build makes them."""
+    parts = []
+    for s in sources:
+        if only in (None, s.key):
+            rows = readers.stream(spark, s, (given or {}).get(s.key)).limit(n)
+            parts.append(decoded(spark, s, rows, tables).select(F.col("row_key").alias("source"), dedup.content_id(F.col("text"), F.col("entities"), F.col("relations")).alias("id"), "entities", "relations"))
+    if not parts:
+        raise ValueError(f"no source {only}")
+    return reduce(DataFrame.unionByName, parts)
+
+
 def build(spark: SparkSession, sources: Sequence[readers.Source], tables: Tables, trusts: dict[str, float] | None = None, edge_trusts: dict[str, dict[str, float]] | None = None, mode: str = "near", given: dict[str, DataFrame] | None = None) -> DataFrame:
     """The deduplicated examples of all sources."""
+    for s in sources:
+        if s.task != "fullmap" and s.task not in decoders.DECODERS:
+            raise ValueError(f"{s.key}: no decoder {s.task!r}")
     parts = []
     for s in sources:
         rows = readers.stream(spark, s, (given or {}).get(s.key))
-        made = mined_examples(spark, rows, tables) if s.task == "fullmap" else examples_of(spark, rows, s.task, tables)
+        made = decoded(spark, s, rows, tables)
         base = W.adjust(F.col("weight"), F.lit(float((trusts or {}).get(s.key, 1.0))))
         edges = (edge_trusts or {}).get(s.key)
         if edges:

@@ -6,26 +6,33 @@ import argparse
 import dataclasses
 import json
 
+from corpusmill.operators.decoders import DECODERS
 from corpusmill.operators.filters import RowFilters
 from corpusmill.sources.readers import Source
 
 
-def declared(path: str) -> list[Source]:
-    """Sources of a declaration: a list of mappings under ``datasets``, over ``defaults``. Unknown keys are errors."""
+def document(path: str) -> dict:
     with open(path, encoding="utf-8") as f:
         text = f.read()
     try:
         import yaml
 
-        doc = yaml.safe_load(text)
+        return yaml.safe_load(text)
     except ImportError:
-        doc = json.loads(text)
+        return json.loads(text)
+
+
+def declared(path: str) -> list[Source]:
+    """Sources of a declaration: a list of mappings under ``datasets``, over ``defaults``. Unknown keys and tasks are errors."""
+    doc = document(path)
     known = {f.name for f in dataclasses.fields(Source)}
     out = []
     for entry in doc.get("datasets", []):
         row = {**doc.get("defaults", {}), **entry}
         if extra := set(row) - known:
             raise ValueError(f"unknown keys {sorted(extra)}")
+        if row.get("task") and row["task"] != "fullmap" and row["task"] not in DECODERS:
+            raise ValueError(f"no decoder {row['task']!r}")
         row["filters"] = RowFilters(**row.get("filters", {}))
         for k in ("columns", "outputs"):
             if k in row:
@@ -37,6 +44,42 @@ def declared(path: str) -> list[Source]:
     return out
 
 
+def _tables(spark, args, doc: dict):
+    """What the options name: a table of dictionary names and a table (class, parent)."""
+    from corpusmill.plans import build
+
+    parents = {r["class"]: r["parent"] for r in spark.read.parquet(args.classes).collect()}
+    given = doc.get("gazetteer", {})
+    return build.tables_of(spark, spark.read.parquet(args.lexicon), parents, given.get("descriptions"), given.get("phrases"))
+
+
+def build_dataset(spark, args) -> None:
+    """Builds the declared sources and writes training JSON."""
+    from corpusmill.plans import build
+    from corpusmill.sources import sinks
+
+    doc = document(args.declaration)
+    out = build.build(spark, declared(args.declaration), _tables(spark, args, doc), doc.get("trust"), doc.get("edge_trust"), args.dedup_mode)
+    sinks.training_json(out).write.mode("error").json(args.output)
+
+
+def validate_trust(spark, args) -> None:
+    """Grades a sample of every source by the hits of its questions, writes the report and prints the trust to declare."""
+    from corpusmill.operators import weights as W
+    from corpusmill.plans import build
+    from corpusmill.plans.runtime import written
+
+    doc = document(args.declaration)
+    more = doc.get("x-trust", {})
+    n = W.setting(args.sample_size, more.get("sample_size"), 25)
+    asked = W.queries_of(build.sampled(spark, declared(args.declaration), _tables(spark, args, doc), n, args.source))
+    answers = written(W.graded(asked, spark.read.parquet(args.hits)), "answers")
+    report = W.setting(args.report, more.get("report"), "trust-report")
+    W.trust_report(answers).coalesce(1).sortWithinPartitions("part", "line").select("line").write.mode("error").text(report)
+    edges = [(r["source"], r["predicate"], r["trust"]) for r in W.suggestions(W.edge_trust(answers)).collect()]
+    print(W.suggested([(r["source"], r["trust"]) for r in W.source_trust(answers).collect()], edges))
+
+
 def schema() -> dict:
     """The declaration's keys with their types and defaults."""
     plain = lambda v: None if v is dataclasses.MISSING else v if not dataclasses.is_dataclass(v) else dataclasses.asdict(v)
@@ -50,6 +93,18 @@ def main(argv: list[str] | None = None) -> int:
     report.add_argument("declaration")
     report.add_argument("-o", "--output")
     sub.add_parser("schema", help="print the keys of a declaration")
+    made = sub.add_parser("build-dataset", help="build the declared sources, write training JSON")
+    trust = sub.add_parser("validate-trust", help="grade a sample of every source, suggest its trust")
+    for p in (made, trust):
+        p.add_argument("declaration")
+        p.add_argument("--lexicon", required=True, help="Parquet: surface, curie, preferred_name, category, taxon")
+        p.add_argument("--classes", required=True, help="Parquet: class, parent")
+    made.add_argument("-o", "--output", required=True)
+    made.add_argument("--dedup-mode", choices=("off", "exact", "near"), default="near")
+    trust.add_argument("--hits", required=True, help="Parquet: query, hits")
+    trust.add_argument("-n", "--sample-size", type=int)
+    trust.add_argument("-s", "--source")
+    trust.add_argument("-o", "--report")
     args = parser.parse_args(argv)
     if args.command == "schema":
         print(json.dumps(schema(), indent=1, default=str))
@@ -60,6 +115,12 @@ def main(argv: list[str] | None = None) -> int:
     from corpusmill.sources.readers import rows
 
     spark = SparkSession.builder.getOrCreate()
+    if args.command == "build-dataset":
+        build_dataset(spark, args)
+        return 0
+    if args.command == "validate-trust":
+        validate_trust(spark, args)
+        return 0
     out = None
     for s in declared(args.declaration):
         part = quality_report(rows(spark, s).select("row_key", "drop_reason"), "row_key")

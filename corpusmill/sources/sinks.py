@@ -32,4 +32,13 @@ def training_json(examples: DataFrame) -> DataFrame:
     descriptions = last_wins(F.transform(described, lambda e: F.struct(e["label"].alias("key"), e["description"].alias("value"))))
     relations = F.transform("relations", lambda r: F.struct(r["name"].alias("name"), F.map_from_entries(r["fields"]).alias("fields"), F.when(r["negated"], F.lit(True)).alias("negated"), F.when(r["evidence"] != "asserted", r["evidence"]).alias("evidence")))
     output = F.struct(entities.alias("entities"), descriptions.alias("entity_descriptions"), nonempty(relations).alias("relations"), nonempty(F.col("classifications")).alias("classifications"))
-    return examples.select(F.col("text").alias("input"), F.to_json(output).alias("output"))
+    written = F.to_json(output)
+    if "structures" in examples.columns:
+        # fields of lists keep their lists, others are plain, so that the shapes differ from field to field
+        text = lambda c: F.regexp_extract(F.to_json(F.array(c)), r"(?s)^\[(.*)\]$", 1)
+        value = lambda f: F.when(f["name"].endswith("[]"), F.to_json(f["value"])).otherwise(text(F.get(f["value"], F.lit(0))))
+        one = lambda s: F.concat(F.lit("{"), text(s["name"]), F.lit(":{"), F.array_join(F.transform(s["fields"], lambda f: F.concat(text(f["name"]), F.lit(":"), value(f))), ","), F.lit("}}"))
+        more = F.concat(F.lit('"json_structures":['), F.array_join(F.transform("structures", one), ","), F.lit("]}"))
+        joined = F.concat(F.regexp_replace(written, r"\}$", ""), F.when(written == "{}", "").otherwise(","), more)
+        written = F.when(F.size("structures") > 0, joined).otherwise(written)
+    return examples.select(F.col("text").alias("input"), written.alias("output"))

@@ -34,13 +34,61 @@ def test_gold_decoders(spark):
     r = decoded(spark, "Bc5Cdr", [row], f"title string, abstract string, entities {e}, rels array<struct<head:string,tail:string>>")[0]
     assert [(m.mention, m.category, m.curie, m.origin) for m in r.gold] == [("Asp", "ChemicalEntity", "MESH:D1", "fullmap"), ("ache", "Disease", None, "raw")]
     assert rels(r) == [("causes", "Asp", "ache")]
-    row = ("Aspirin hits COX", [{"id": "T1", "type": "CHEMICAL", "start": 0, "end": 7}, {"id": "T2", "type": "GENE-Y", "start": 13, "end": 16}, {"id": "T3", "type": "GENE-Y", "start": 50, "end": 60}], [{"type": "CPR:4", "arg1": "T1", "arg2": "T2"}, {"type": "CPR:4", "arg1": "T1", "arg2": "T3"}, {"type": "CPR:10", "arg1": "T1", "arg2": "T2"}])
-    r = decoded(spark, "Chemprot", [row], "text string, entities array<struct<id:string,type:string,start:int,end:int>>, rels array<struct<type:string,arg1:string,arg2:string>>")[0]
-    assert rels(r) == [("decreases_amount_or_activity_of", "Aspirin", "COX")] and [s.label for s in r.spans] == ["CHEMICAL", "GENE-Y"]
+    lists = {"id": ["T1", "T2", "T3"], "type": ["CHEMICAL", "GENE-Y", "GENE-Y"], "text": ["Aspirin", "COX", "far"], "offsets": [[0, 7], [13, 16], [50, 60]]}
+    links = {"type": ["CPR:4", "CPR:4", "CPR:10"], "arg1": ["T1", "T1", "T1"], "arg2": ["T2", "T3", "T2"]}
+    shape = "text string, entities struct<id:array<string>,type:array<string>,text:array<string>,offsets:array<array<int>>>, rels struct<type:array<string>,arg1:array<string>,arg2:array<string>>"
+    ragged = {**lists, "type": ["CHEMICAL"]}
+    r = decoded(spark, "Chemprot", [("Aspirin hits COX", lists, links), ("Aspirin hits COX", ragged, links), (None, None, None)], shape)
+    assert rels(r[0]) == [("decreases_amount_or_activity_of", "Aspirin", "COX")] and [s.label for s in r[0].spans] == ["CHEMICAL", "GENE-Y"]
+    assert [(x.spans, x.relations) for x in r[1:]] == [([], []), ([], [])]
     r = decoded(spark, "FewRel", [("A B met C".split(), [[0, 1]], [[3]], "met-with")], "tokens array<string>, head array<array<int>>, tail array<array<int>>, label string")[0]
     assert rels(r) == [("met_with", "A B", "C")]
 
 
+def test_labels_of_the_corpora(spark):
+    r = decoded(spark, "Jnlpba", [("IL-2 gene binds".split(), [1, 2, 99]), (["a"], [15, 16])], "tokens array<string>, tags array<int>")
+    assert [[tuple(s) for s in x.spans] for x in r] == [[(0, 1, "GENE")], []]
+    e = "array<struct<type:string,id:string,offset:bigint,length:bigint,text:string>>"
+    row = ("Fever", "and rash", [{"type": "T033", "id": "UMLS:C1", "offset": 0, "length": 5, "text": "Fever"}, {"type": "T999", "id": "UMLS:C2", "offset": 10, "length": 4, "text": "rash"}])
+    r = decoded(spark, "MedMentions", [row], f"title string, abstract string, entities {e}")[0]
+    assert [(m.mention, m.category, m.curie, m.origin) for m in r.gold] == [("Fever", "ClinicalFinding", "UMLS:C1", "fullmap")]
+    r = decoded(spark, "NemotronPii", [("Ann Lee, Rome", "[{'start': 0, 'end': 3, 'text': 5, 'label': 'first_name'}, {'start': 9, 'end': 13, 'label': 'city'}, {'start': 9, 'end': 99, 'label': 'x'}]"), ("x", "[")], "text string, spans string")
+    assert r[0].text == "Ann Lee, Rome" and [(r[0].tokens[s.start], s.label) for s in r[0].spans] == [("Ann", "first_name"), ("Rome", "city")] and r[1].spans == []
+
+
+def test_nested_decoders(spark):
+    p = "passages array<struct<type:string,text:array<string>>>, entities array<struct<id:string,type:string,offsets:array<array<int>>,normalized:array<struct<db_id:string>>>>, rels array<struct<type:string,arg1:string,arg2:string>>"
+    ent = lambda i, a, b, db: {"id": i, "type": "ChemicalEntity", "offsets": [[a, b]], "normalized": [{"db_id": db}]}
+    link = lambda a, b: {"type": "Bind", "arg1": a, "arg2": b}
+    row = ([{"type": "title", "text": ["Aspirin"]}, {"type": "abstract", "text": ["hits COX and aspirin"]}], [ent("1", 0, 7, "A"), ent("2", 13, 16, "B"), ent("3", 21, 28, "A")], [link("1", "2"), link("3", "2"), link("1", "1"), link("1", "9"), link("1", "3")])
+    r = decoded(spark, "Biored", [row, (row[0][:1], row[1], row[2])], p)
+    assert rels(r[0]) == [("physically_interacts_with", "Aspirin", "COX"), ("physically_interacts_with", "Aspirin", "aspirin")] and (r[1].text, r[1].spans) == ("", [])
+    d = "sents array<array<string>>, vertexSet array<array<struct<pos:array<int>,sent_id:int,type:string>>>, labels array<struct<h:int,t:int,r:string>>"
+    at = lambda a, b, s, t: {"pos": [a, b], "sent_id": s, "type": t}
+    row = ([["Ann", "Lee", "left"], ["Rome", "in", "1990"]], [[at(0, 9, 0, "PER"), at(0, 2, 0, "PER")], [at(0, 1, 1, "LOC")], [at(2, 3, 1, "TIME")], [at(0, 1, 5, "LOC")]], [{"h": 0, "t": 1, "r": "P19"}, {"h": 0, "t": 0, "r": "P19"}, {"h": 0, "t": 3, "r": "P19"}, {"h": 0, "t": 8, "r": "P19"}, {"h": 0, "t": 2, "r": "P0"}])
+    r = decoded(spark, "Docred", [row], d)[0]
+    assert rels(r) == [("place_of_birth", "Ann Lee", "Rome")] and [(m.mention, m.category) for m in r.gold] == [("Ann Lee", "Human"), ("Rome", "GeographicLocation"), ("1990", "Time")]
+    section = "{'Section_Content': 'take aspirin now', 'Entity_Recognition': [{'Text': 'aspirin', 'Type': 'GENERIC_NAME', 'BeginOffset': 5, 'EndOffset': 12}, {'Text': 'wrong', 'Type': 'X', 'BeginOffset': 0, 'EndOffset': 5}, 7]}"
+    r = decoded(spark, "Bioleaflets", [(section, None, "[", section, "None", "{}")], ", ".join(f"Section_{i} string" for i in range(1, 7)))[0]
+    assert r.text == "take aspirin now take aspirin now" and r.tokens[3] is None and [tuple(s) for s in r.spans] == [(1, 1, "GENERIC_NAME"), (5, 5, "GENERIC_NAME")]
+    doc = json.dumps({"interventions": [{"name": "aspirin", "type": "Drug"}, {"name": "stent", "type": "Device"}], "conditions": ["flu", None, "gone"], "n": {"k": True, "e": "", "v": [1, {"z": 2}, "s"]}})
+    r = decoded(spark, "JsonExtraction", [("aspirin and a stent for flu", doc, "owkin/medical_knowledge_from_extracts"), ("x", "5", "s"), ("Bob joined Acme", json.dumps([{"subject": "Bob", "predicate": "member of", "object": "Acme"}, {"subject": "Bob", "predicate": "no relation", "object": "Acme"}]), "ProfessorBob/relation_extraction")], "text string, json string, source string")
+    assert sorted((m.mention, m.category, m.origin) for m in r[0].gold) == [("aspirin", "ChemicalEntity", "fallback"), ("flu", "Disease", "fallback")]
+    assert [(f.name, f.value) for f in r[0].structures[0].fields][4:] == [("conditions[]", ["flu", "gone"]), ("n.k", ["true"]), ("n.v[].z", ["2"]), ("n.v[]", ["1", "s"])]
+    assert r[1].text == "" and r[1].structures == [] and rels(r[2]) == [("member_of", "Bob", "Acme")]
+    r = decoded(spark, "MedQa", [("why", {"A": "a", "B": "b", "C": "c", "D": "d"}, " b "), ("why", {"A": "a", "B": " ", "C": "c", "D": "d"}, "A")], "question string, options struct<A:string,B:string,C:string,D:string>, label string")
+    assert r[0].text == "why A. a B. b C. c D. d" and r[0].classifications[0].true_label == ["B"] and (r[1].text, r[1].classifications) == ("why", [])
+
+
+def test_parts_of_a_source(spark, tmp_path):
+    spark.range(200).selectExpr("id", "cast(id as string) as text").write.parquet(str(tmp_path / "t"))
+    whole = readers.Source("parquet", str(tmp_path / "t"), "t", read_shards=4)
+    parts = [{r.id for r in readers.stream(spark, s).collect()} for s in readers.shards(whole)]
+    assert sum(map(len, parts)) == 200 and set.union(*parts) == set(range(200)) and all(parts)
+    with pytest.raises(ValueError):
+        readers.Source("parquet", "x", "t", read_shards=4, shard=4)
+
+
 def test_sentence_and_class_decoders(spark):
     r = decoded(spark, "SentenceRex", [("<e1>A</e1> binds <e2>B</e2>", "binds to"), ("no tags", "x")], "sentence string, label string")
     assert rels(r[0]) == [("binds_to", "A", "B")] and rels(r[1]) == []
@@ -135,3 +183,33 @@ def test_command_line(tmp_path, capsys):
     with pytest.raises(ValueError):
         cli.declared(str(p))
     assert cli.main(["schema"]) == 0 and "read_shards" in capsys.readouterr().out
+
+
+def test_commands(spark, tmp_path, capsys):
+    at = lambda n: str(tmp_path / n)
+    ner = "tokens array<string>, ner array<struct<start:int,end:int,label:string>>"
+    rows = [("Aspirin treats headache".split(), [(0, 0, "drug"), (2, 2, "disease")]), ("Aspirin causes headache".split(), [(0, 0, "drug"), (2, 2, "disease")])]
+    spark.createDataFrame(rows, ner).write.parquet(at("rows"))
+    spark.createDataFrame([("aspirin", "C:1", "aspirin", "Drug", 0), ("headache", "D:1", "headache", "Disease", 0)], "surface string, curie string, preferred_name string, category string, taxon int").write.parquet(at("names"))
+    spark.createDataFrame([("ChemicalEntity", None), ("Drug", "ChemicalEntity"), ("DiseaseOrPhenotypicFeature", None), ("Disease", "DiseaseOrPhenotypicFeature")], "class string, parent string").write.parquet(at("classes"))
+    spark.createDataFrame([("Aspirin", 9), ("headache", 3), ("Aspirin AND headache", 2)], "query string, hits int").write.parquet(at("hits"))
+    one = {"format": "parquet", "path": at("rows"), "key": "a", "task": "GlinerBiomed", "outputs": ["entities", "relations"]}
+    (tmp_path / "d.json").write_text(json.dumps({"datasets": [one], "trust": {"a": 0.9}, "x-trust": {"sample_size": 1}}))
+    more = ["--lexicon", at("names"), "--classes", at("classes")]
+    assert cli.main(["build-dataset", at("d.json"), *more, "-o", at("out"), "--dedup-mode", "exact"]) == 0
+    got = [json.loads(r.output) for r in spark.read.json(at("out")).collect()]
+    assert len(got) == 2 and all(x["entities"] == {"Drug": ["Aspirin"], "Disease": ["headache"]} for x in got)
+    assert cli.main(["validate-trust", at("d.json"), *more, "--hits", at("hits"), "-o", at("report")]) == 0
+    lines = [json.loads(r.value) for r in spark.read.text(at("report")).collect()]
+    assert len(lines) == 4 and lines[-1]["summary"]["n_queries"] == 3 and sorted(x["verdict"] for x in lines[:-1]) == ["partial", "verified", "verified"]
+    assert "a: 0.83" in capsys.readouterr().out
+    (tmp_path / "bad.json").write_text(json.dumps({"datasets": [{**one, "task": "Nobody"}]}))
+    with pytest.raises(ValueError):
+        cli.declared(at("bad.json"))
+
+
+def test_structures_in_training_json(spark):
+    schema = f"text string, entities {build.ENTITIES}, classifications {decoders.CLASSES}, structures {decoders.STRUCTURES}, relations array<{build.RELATION}>"
+    df = spark.createDataFrame([("t", [], [], [("s\"q", [("a.b", ["x"]), ("c[]", ["1", "2"])])], []), ("u", [], [], [], [])], schema)
+    got = {r.input: json.loads(r.output) for r in sinks.training_json(df).collect()}
+    assert got == {"t": {"json_structures": [{"s\"q": {"a.b": "x", "c[]": ["1", "2"]}}]}, "u": {}}
