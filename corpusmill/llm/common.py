@@ -1,16 +1,14 @@
-"""Helpers shared by the training-data operators: the shared folder, written intermediates, text access."""
+"""Helpers shared by the training-data operators: written intermediates, text access."""
 
 from __future__ import annotations
 
-import os
-import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusmill.plans.runtime import ship_code
+from corpusmill.plans.runtime import discard, ship_code, written  # noqa: F401 (the operators take them from here)
 
 ASCII_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 ASCII_LOWER = "abcdefghijklmnopqrstuvwxyz"
@@ -18,41 +16,6 @@ ASCII_LOWER = "abcdefghijklmnopqrstuvwxyz"
 LOWER_TABLE = bytes.maketrans(ASCII_UPPER.encode(), ASCII_LOWER.encode())
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: ``spark.checkpoint.dir`` of the session.
-
-    Only where the setting is absent and the master runs inside this machine (tests) is a folder beside the warehouse
-    used; a cluster without the setting is an error, since a machine-local folder would lose rows there.
-    """
-    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if found:
-        return found.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-    own = os.path.join(spark.conf.get("spark.sql.warehouse.dir").removeprefix("file:"), "_shared")
-    spark.conf.set("spark.checkpoint.dir", own)
-    return own
-
-
-def written(df: DataFrame, name: str) -> DataFrame:
-    """Writes df as Parquet to the shared folder and returns the reread table: lineage is cut, lost executors cost no rerun."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/corpusmill/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    out = spark.read.schema(df.schema).parquet(path)
-    out.written_path = path
-    return out
-
-
-def discard(*tables: DataFrame) -> None:
-    """Deletes the files of tables that ``written`` made and that no later plan reads; others are left alone."""
-    for df in tables:
-        if path := getattr(df, "written_path", None):
-            spark = df.sparkSession
-            at = spark._jvm.org.apache.hadoop.fs.Path(path)
-            at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
-
-
 def text_or_empty(col: str | Column = "text") -> Column:
     """The whole text; null counts as the empty text."""
     return F.coalesce(F.col(col) if isinstance(col, str) else col, F.lit(""))

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import decontamination, language_id, license_scan, line_dedup, lm_scoring, near_dedup, packing, pii, quality_rules, revisits
-from .common import read
+from .common import ASCII_LOWER, ASCII_UPPER, read
 
 #: Where the public tokenizer files lie; a parameter of the queries that tokenize.
 TOKENIZER = "word_bpe_49k.json"
@@ -56,6 +56,22 @@ def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(read(spark, sf_dir, "documents"), near_dedup.Settings(shingle_words=2))
 
 
+#: Words between white space, A-Z lower-cased, as DuckDB has them.
+SQL_WORDS = rf"list_filter(regexp_split_to_array(translate(coalesce(text, ''), '{ASCII_UPPER}', '{ASCII_LOWER}'), '[\x20\x09-\x0D]+'), lambda x: x <> '')"
+
+#: Every pair that shares a shingle, and the closure of the links.
+OP8_SQL = f"""
+with recursive d as (select doc_id, {SQL_WORDS} as w from documents),
+g as (select distinct doc_id, unnest(case when len(w) < 2 then w else list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]) end) as g from d),
+n as (select doc_id, count(*) as n from g group by 1),
+p as (select a.doc_id as a, b.doc_id as b, count(*) as c from g a join g b on a.g = b.g and a.doc_id < b.doc_id group by 1, 2),
+l as (select a, b from p join n x on x.doc_id = a join n y on y.doc_id = b where 100 * c >= 80 * (x.n + y.n - c)),
+e as (select a, b from l union select b, a from l),
+r(a, m) as (select doc_id, doc_id from d union select e.b, r.m from r join e on e.a = r.a)
+select d.doc_id, cast(coalesce(n.n, 0) as bigint) as n_shingles, min(m) as component_id, min(m) = d.doc_id as kept from d left join n on n.doc_id = d.doc_id join r on r.a = d.doc_id group by d.doc_id, n.n
+"""
+
+
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     index = decontamination.build_index(read(spark, sf_dir, "documents"))
     return decontamination.digest(decontamination.search(index, read(spark, sf_dir, "benchmark"), slop=4))
@@ -95,7 +111,28 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, target = read(spark, sf_dir, "documents"), read(spark, sf_dir, "conversations")
-    return lm_scoring.score(lm_scoring.learn(target, docs))
+    found = lm_scoring.score(lm_scoring.learn(target, docs))
+    return found.select("doc_id", "n_tokens", *(F.round(c, 6).alias(c) for c in ("target_loss", "background_loss", "score")))
+
+
+OP9_SQL = f"""
+with d as (select doc_id, row_number() over () as r, {SQL_WORDS} as w from documents),
+t as (select r, unnest(w) as x, generate_subscripts(w, 1) as i from d),
+b as (select r, x, lag(x) over (partition by r order by i) as v from t),
+ct as (select r, unnest(w) as x, generate_subscripts(w, 1) as i from (select row_number() over () as r, {SQL_WORDS} as w from conversations)),
+c as (select x, lag(x) over (partition by r order by i) as v from ct),
+ub as (select x, count(*) as n from b group by 1), bb as (select v, x, count(*) as n from b where v is not null group by 1, 2),
+ut as (select x, count(*) as n from c group by 1), bt as (select v, x, count(*) as n from c where v is not null group by 1, 2),
+ou as (select r, x, count(*) as n from b group by 1, 2), ob as (select r, v, x, count(*) as n from b where v is not null group by 1, 2, 3),
+k as (select (select count(*) from b) as nb, (select count(*) from c) as nt, (select count(*) from (select x from ub union select x from ut)) as size),
+j as (select b.r, b.v, (coalesce(ut.n, 0) + 1) / (nt + size + 1) as pt, coalesce(bt.n, 0) as bt, coalesce(utv.n, 0) as vt,
+             (ub.n - ou.n + 1) / (nb - len(w) + size + 1) as pb, bb.n - ob.n as bb, ubv.n - ouv.n as vb
+      from b join k on true join d on d.r = b.r left join ut on ut.x = b.x left join ut utv on utv.x = b.v left join bt on bt.v = b.v and bt.x = b.x
+      join ub on ub.x = b.x join ou on ou.r = b.r and ou.x = b.x left join ub ubv on ubv.x = b.v left join ou ouv on ouv.r = b.r and ouv.x = b.v
+      left join bb on bb.v = b.v and bb.x = b.x left join ob on ob.r = b.r and ob.v = b.v and ob.x = b.x),
+m as (select r, avg(-log2(case when v is null then pt else (bt + 50 * pt) / (vt + 50) end)) as a, avg(-log2(case when v is null then pb else (bb + 50 * pb) / (vb + 50) end)) as z from j group by r)
+select doc_id, cast(len(w) as bigint) as n_tokens, round(coalesce(a, 0.0), 6) as target_loss, round(coalesce(z, 0.0), 6) as background_loss, round(coalesce(z - a, 0.0), 6) as score from d left join m on m.r = d.r
+"""
 
 
 def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -146,4 +183,6 @@ ORACLES: dict[str, str] = {
     "op3_license_scan": license_scan.oracle(),
     "op4_warc_revisits": OP4_SQL,
     "op5_quality_rules": OP5_SQL,
+    "op8_near_dedup": OP8_SQL,
+    "op9_lm_scoring": OP9_SQL,
 }

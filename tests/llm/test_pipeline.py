@@ -1,6 +1,7 @@
 """The pipeline against a plain Python version of its stages."""
 
 import importlib
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -42,7 +43,26 @@ def test_stages_and_run(spark):
     assert {r.doc_id for r in pieces} == set(left) and all(r.n == r.m for r in pieces)
 
 
-@pytest.mark.parametrize("k", range(4))
+@pytest.mark.parametrize("k", range(5))
+def test_stages_of_nulls_long_texts_and_repeated_rows(spark, k):
+    """Null ids, sources and texts, an empty and a very long text, repeated rows and columns named like the stages' own."""
+    p = importlib.import_module("corpus_pipeline")
+    prose = " ".join(f"wort{i % 71}{'x' * (i % 5)}" for i in range(120))
+    other = " ".join(f"anders{i}" for i in range(90))
+    long = " ".join(f"lang{i * i % 99991}" for i in range(60_000))
+    rows = [(1, prose, "a"), (1, prose, "a"), (None, other, None), (None, other, None), (None, None, "b"), (2, None, None), (3, "", "c"), (4, long, "d"), (5, prose + " ende", "e"), (6, long, "d")]
+    docs = spark.createDataFrame([(i, t, "de", s, 7, 1, "k", "n", 0.5) for i, t, s in rows], "doc_id long, text string, lang string, source string, n_chars long, node long, kept string, k string, part double")
+    out = p.STAGES[k][1](spark, docs, D)
+    got = out.collect()
+    if k < 4:
+        assert out.columns == docs.columns
+        counts = {0: [(1, 2), (4, 1), (5, 1), (6, 1), (None, 2)], 1: [(1, 2), (2, 1), (3, 1), (4, 1), (5, 1), (6, 1), (None, 3)], 2: [(1, 2), (2, 1), (3, 1), (4, 1), (None, 3)], 3: [(1, 2), (2, 1), (3, 1), (4, 1), (5, 1), (6, 1), (None, 3)]}[k]
+        assert sorted(Counter(r.doc_id for r in got).items(), key=str) == counts
+    else:
+        assert sum(r.offset == 0 and r.start == 0 for r in got) <= len(rows) == sum(r.start == 0 for r in got)
+
+
+@pytest.mark.parametrize("k", range(5))
 def test_stages_of_an_empty_table(spark, k):
     p = importlib.import_module("corpus_pipeline")
     empty = spark.read.parquet(f"{D}/documents.parquet").limit(0)
