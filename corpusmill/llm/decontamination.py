@@ -42,7 +42,7 @@ FOUND_SCHEMA = "doc_id bigint, n_words bigint, starts array<bigint>, stops array
 class Terms:
     """64-bit hashes of a text's words, remembered up to a bounded number."""
 
-    def __init__(self, most: int = 200_000):
+    def __init__(self, most: int = 400_000):
         import xxhash
 
         self.known, self.most, self.of_word = {}, most, xxhash.xxh3_64_intdigest

@@ -44,7 +44,7 @@ class WordCache:
     The memory is bounded: beyond ``most`` distinct words it starts afresh.
     """
 
-    def __init__(self, path: str, most: int = 400_000):
+    def __init__(self, path: str, most: int = 800_000):
         from tokenizers import Tokenizer
         from tokenizers.pre_tokenizers import ByteLevel
 
