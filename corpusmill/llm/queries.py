@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import decontamination, language_id, license_scan, line_dedup, lm_scoring, near_dedup, packing, pii, quality_rules, revisits
-from .common import ASCII_LOWER, ASCII_UPPER, read
+from .common import ASCII_LOWER, ASCII_UPPER, read, written
 
 #: Where the public tokenizer files lie; a parameter of the queries that tokenize.
 TOKENIZER = "word_bpe_49k.json"
@@ -48,6 +48,20 @@ select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, (fai
 """
 
 
+def quality_ablation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each rule of the policy does to all documents, from the stored ledger."""
+    ledger = written(quality_rules.evaluate(read(spark, sf_dir, "documents")).select("doc_id", "fail_bits"), "ledger")
+    return quality_rules.ablation(ledger)
+
+
+_MASK = quality_rules.bits(quality_rules.POLICIES["web-1"])
+_RULES = ", ".join(f"('{n}', {quality_rules.bits((n,))})" for n in quality_rules.POLICIES["web-1"])
+ABLATION_SQL = OP5_SQL[: OP5_SQL.rindex("select doc_id, n_words, word_chars")] + f"""
+select rule, cast(count(*) filter ((fail_bits & bit) <> 0) as bigint) as n_fail, cast(count(*) filter ((fail_bits & {_MASK}) = bit) as bigint) as n_only,
+       cast(count(*) filter ((fail_bits & {_MASK}) <> 0) as bigint) as n_rejected from b, (values {_RULES}) r(rule, bit) group by rule
+"""
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read(spark, sf_dir, "documents"), tokenizer_path())
 
@@ -172,6 +186,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_license_scan": op3_license_scan,
     "op4_warc_revisits": op4_warc_revisits,
     "op5_quality_rules": op5_quality_rules,
+    "quality_ablation": quality_ablation,
     "op6_packing": op6_packing,
     "op7_decontamination": op7_decontamination,
     "op8_near_dedup": op8_near_dedup,
@@ -183,6 +198,7 @@ ORACLES: dict[str, str] = {
     "op3_license_scan": license_scan.oracle(),
     "op4_warc_revisits": OP4_SQL,
     "op5_quality_rules": OP5_SQL,
+    "quality_ablation": ABLATION_SQL,
     "op8_near_dedup": OP8_SQL,
     "op9_lm_scoring": OP9_SQL,
 }
