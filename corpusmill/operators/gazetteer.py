@@ -20,6 +20,7 @@ from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 from corpusmill.functions import vocabulary as V
+from corpusmill.functions.text import let
 from corpusmill.plans.runtime import ship_code
 
 REACH = 15
@@ -240,12 +241,13 @@ def relations(spark: SparkSession, g: Gazetteer, tokens: Column, spans: Column)
 
 
 def phrase_matches(docs, tokens: Column, rows: Sequence[tuple[str, str]]):
-    """Every place where a phrase stands, before the greedy choice: doc columns, start, end, key. A hash join on the first token."""
+    """Every place where a phrase stands, before the greedy choice: doc columns, start, end, key. A hash join on the first token; each place carries only as many tokens as the longest phrase has."""
     spark = docs.sparkSession
     listed = F.broadcast(spark.createDataFrame([(p.split(), k) for p, k in rows], "phrase array<string>, key string").select("phrase", "key", F.element_at("phrase", 1).alias("first")))
-    placed = docs.withColumn("_low", F.transform(tokens, lambda t: F.lower(t))).select("*", F.posexplode("_low").alias("start", "first"))
-    met = placed.join(listed, "first").where(F.slice("_low", F.col("start") + 1, F.size("phrase")) == F.col("phrase"))
-    return met.withColumn("end", F.col("start") + F.size("phrase") - 1).drop("_low", "first", "phrase")
+    longest = max((len(p.split()) for p, _ in rows), default=1)
+    placed = let(F.transform(tokens, lambda t: F.lower(t)), lambda low: F.transform(low, lambda t, i: F.struct(i.alias("start"), t.alias("first"), F.slice(low, i + 1, longest).alias("_run"))))
+    met = docs.select("*", F.inline(placed)).join(listed, "first").where(F.slice("_run", 1, F.size("phrase")) == F.col("phrase"))
+    return met.withColumn("end", F.col("start") + F.size("phrase") - 1).drop("_run", "first", "phrase")
 
 
 def silent_predicates(emitted, spark: SparkSession, declared: Sequence[str]):

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusmill.functions import decode as C
@@ -94,11 +94,6 @@ def source_shards(spark, sf_dir):
     return out
 
 
-@query("select cast(l_orderkey % 4 as bigint) as shard, cast(count(*) as bigint) as n_rows from lineitem group by 1")
-def shard_mod(spark, sf_dir):
-    return table(spark, sf_dir, "lineitem").groupBy((F.col("l_orderkey") % 4).cast("long").alias("shard")).agg(F.count("*").alias("n_rows"))
-
-
 @query("select doc_id as id, text, 'script' as task from documents union all select conv_id * 1000 + turn, text, 'fullmap' from conversations")
 def union_branches(spark, sf_dir):
     a = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), "text", F.lit("script").alias("task"))
@@ -190,7 +185,7 @@ def quality_report_rollup(spark, sf_dir):
     return R.quality_report_rollup(_flagged(spark, sf_dir), "source")
 
 
-@query(f"{SQL_REASON} select source, cast(count(*) as bigint) as rows_in, cast(count(*) filter (drop_reason is null) as bigint) as rows_out from reasons group by 1 having count(*) filter (drop_reason is null) = 0 or count(*) > 0")
+@query(f"{SQL_REASON} select source, cast(count(*) as bigint) as rows_in, cast(count(*) filter (drop_reason is null) as bigint) as rows_out from reasons group by 1")
 def zero_yield_counts(spark, sf_dir):
     return _flagged(spark, sf_dir).groupBy("source").agg(F.count("*").alias("rows_in"), F.count_if(F.col("drop_reason").isNull()).alias("rows_out"))
 
@@ -496,21 +491,6 @@ def gazetteer_relations(spark, sf_dir):
     return found.select("doc_id", "r.name", "r.negated", F.get("r.fields", F.lit(0))["value"].alias("a"), F.get("r.fields", F.lit(1))["value"].alias("b"))
 
 
-@query("""
-with e as (select event_id, user_id, ts, event_type from events)
-select e.event_id, max(p.ts) as before_ts, min(n.ts) as after_ts from e
-left join e p on p.user_id = e.user_id and p.event_type = 'purchase' and p.ts < e.ts
-left join e n on n.user_id = e.user_id and n.event_type = 'purchase' and n.ts > e.ts
-where e.event_type = 'click' group by 1
-""")
-def nearest_before_after(spark, sf_dir):
-    e = table(spark, sf_dir, "events").select("event_id", "user_id", "ts", "event_type").withColumn("us", F.unix_micros(F.col("ts").cast("timestamp")))
-    bought = F.when(F.col("event_type") == "purchase", F.col("ts"))
-    past = Window.partitionBy("user_id").orderBy("us").rangeBetween(Window.unboundedPreceding, -1)
-    later = Window.partitionBy("user_id").orderBy("us").rangeBetween(1, Window.unboundedFollowing)
-    return e.withColumn("before_ts", F.max(bought).over(past)).withColumn("after_ts", F.min(bought).over(later)).where("event_type = 'click'").select("event_id", "before_ts", "after_ts")
-
-
 # --- spans and decoding ---
 
 
@@ -559,16 +539,6 @@ def conversation_pairs(spark, sf_dir):
     return t.select("conv_id", F.explode(C.conversation_pairs(F.col("turns"))).alias("p")).select("conv_id", "p.question", "p.answer")
 
 
-@query("select conv_id, min_by(text, turn) as document from conversations where role = 'user' group by 1")
-def conversation_document(spark, sf_dir):
-    return table(spark, sf_dir, "conversations").where("role = 'user'").groupBy("conv_id").agg(F.min_by("text", "turn").alias("document"))
-
-
-@query("select event_id, cast(json_extract(props, '$.k') as bigint) as k from events")
-def json_field_decode(spark, sf_dir):
-    return table(spark, sf_dir, "events").select("event_id", F.from_json("props", "k bigint")["k"].alias("k"))
-
-
 _ENDS = " ".join(f"when suffix(l, '{e}') then '{label}'" for e, label in V.SUFFIXES)
 _LAST = " ".join(f"when '{w}' then '{label}'" for w, label in V.TAILS)
 
@@ -583,6 +553,12 @@ def secondary_labels(spark, sf_dir):
     return w.select("doc_id", "w", F.explode(S.secondary_labels(F.col("w"))).alias("label"))
 
 
+@query("select event_id, 'k' as path, json_extract_string(props, '$.k') as value from events")
+def json_leaves(spark, sf_dir):
+    leaves = C.flattened_udf(spark)(F.col("props"))
+    return table(spark, sf_dir, "events").select("event_id", F.explode(leaves).alias("l")).select("event_id", "l.path", "l.value")
+
+
 # --- families and grouping ---
 
 
