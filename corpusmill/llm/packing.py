@@ -69,11 +69,13 @@ class WordCache:
 
     def _learn(self, new: list[str]) -> None:
         first, ids, hard = len(self.codes), [], []
+        plain, pieces, make = PLAIN.fullmatch, self.pieces, self._piece
         for i, w in enumerate(new):
-            if m := PLAIN.fullmatch(w):
+            if m := plain(w):
                 core, tail = m.groups()
-                core = self._piece(core.lower())
-                ids.append(core + self._piece(tail) if tail else core)
+                core = core.lower()
+                core = pieces.get(core) or make(core)
+                ids.append(core + (pieces.get(tail) or make(tail)) if tail else core)
             else:
                 hard.append(i)
                 ids.append([])
@@ -98,9 +100,11 @@ class WordCache:
         split = pc.split_pattern(pc.replace_substring(texts, "\n", " "), " ")
         words = split.flatten().dictionary_encode()
         distinct, known = words.dictionary.to_numpy(zero_copy_only=False), self.codes
-        if new := [w for w in distinct if w not in known]:
-            self._learn(new)
-        codes = np.fromiter(map(known.__getitem__, distinct), np.int64, len(distinct))[words.indices.to_numpy()]
+        codes = np.fromiter(map(known.get, distinct, itertools.repeat(-1)), np.int64, len(distinct))
+        if len(new := np.flatnonzero(codes < 0)):
+            codes[new] = np.arange(len(known), len(known) + len(new))
+            self._learn(distinct[new].tolist())
+        codes = codes[words.indices.to_numpy()]
         sizes = self.lengths[codes]
         ends = np.cumsum(sizes, dtype=np.int64)
         flat = self.flat[np.arange(ends[-1] if len(ends) else 0) + np.repeat(self.starts[codes] - (ends - sizes), sizes)]
@@ -116,27 +120,22 @@ def capacities(total: int, width: int) -> list[int]:
 
 def assign(lengths: list[int], width: int, linear: float, quadratic: float) -> list[tuple[int, int, int, int, int]]:
     """(document, start, length, sequence, offset) of each piece, by descending length to the lowest-cost sequence with room."""
-    room = capacities(sum(lengths), width)
-    used, out = [0] * len(room), []
-    cost = lambda n: linear * n + quadratic * n * n
-    heap = [(0.0, s) for s in range(len(room))]
+    room = np.array(capacities(sum(lengths), width), np.int64)
+    spent, used, out = np.zeros(len(room)), [0] * len(room), []
     todo = [(-min(width, n - a), d, a) for d, n in enumerate(lengths) for a in range(0, n, width)]
     heapq.heapify(todo)
     while todo:
         size, d, a = heapq.heappop(todo)
-        n, passed = -size, []
-        while heap and room[heap[0][1]] < n:
-            passed.append(heapq.heappop(heap))
-        # no sequence has room for all of it: cut, and fill the cheapest of those with room left
-        spent, s = heapq.heappop(heap) if heap else passed.pop(0)
-        for x in passed:
-            heapq.heappush(heap, x)
-        take = min(n, room[s])
+        n = -size
+        costs = np.where(room >= n, spent, np.inf)
+        s = int(costs.argmin())
+        if room[s] < n:  # no sequence has room for all of it: cut, and fill the cheapest of those with room left
+            s = int(np.where(room > 0, spent, np.inf).argmin())
+        take = min(n, int(room[s]))
         out.append((d, a, take, s, used[s]))
         used[s] += take
         room[s] -= take
-        if room[s]:
-            heapq.heappush(heap, (spent + cost(take), s))
+        spent[s] += linear * take + quadratic * take * take
         if take < n:
             heapq.heappush(todo, (take - n, d, a + take))
     return out
