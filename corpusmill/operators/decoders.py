@@ -20,9 +20,9 @@ from pyspark.sql import functions as F
 from corpusmill.functions import corpora as K
 from corpusmill.functions import decode as C
 from corpusmill.functions import spans as S
-from corpusmill.functions.stemming import tokenize
+from corpusmill.functions.stemming import token_places
 from corpusmill.functions.text import let
-from corpusmill.plans.runtime import ship_code
+from corpusmill.plans.runtime import by_pieces, ship_code
 
 GOLD = "array<struct<mention:string,category:string,curie:string,preferred_name:string,origin:string,id:string>>"
 RELATIONS = "array<struct<name:string,fields:array<struct<name:string,value:string>>,description:string,negated:boolean,evidence:string>>"
@@ -31,15 +31,10 @@ SPANS = f"array<{S.SPAN}>"
 STRUCTURES = "array<struct<name:string,fields:array<struct<name:string,value:array<string>>>>>"
 
 
-def triples(spark: SparkSession, text: Column) -> Column:
-    """Tokens with their places."""
-    ship_code(spark)
-
-    def split(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for s in batches:
-            yield s.map(lambda t: [{"token": a, "start": b, "end": c} for a, b, c in tokenize(t or "")])
-
-    return F.pandas_udf(split, "array<struct<token:string,start:int,end:int>>")(text)
+def placed(spark: SparkSession, text: Column, marks: Column) -> Column:
+    """struct<tokens, spans> of a text and its character spans, in one pass through Python: only texts and spans go there, not tokens."""
+    typed = F.transform(marks, lambda m: F.struct(m["start"].cast("int").alias("start"), m["end"].cast("int").alias("end"), m["label"].cast("string").alias("label")))
+    return by_pieces(spark, S.in_tokens, f"struct<tokens:array<string>,spans:{SPANS}>")(text, typed)
 
 
 def finished(df: DataFrame, **made: Column) -> DataFrame:
@@ -74,11 +69,11 @@ def table_of(labels: dict[str, str]) -> Column:
     return F.create_map(*(F.lit(x) for kv in labels.items() for x in kv)) if labels else F.create_map().cast("map<string,string>")
 
 
-def linked(rows: Column, mentions: Column, c: Corpus) -> Column:
-    """Gold relations between mentions by id. rows: array<struct<type, arg1, arg2>>; unknown types, ids without a mention and self-loops (by id; by surface unless ``same_surface``) are dropped, equal ones collapse."""
+def linked(rows: Column, c: Corpus) -> Column:
+    """Gold relations between mentions by id. rows: array<struct<type, arg1, arg2, head, tail>>; unknown types, ids without a mention and self-loops (by id; by surface unless ``same_surface``) are dropped, equal ones collapse."""
 
     def one(r: Column) -> Column:
-        head, tail = _first(mentions, r["arg1"]), _first(mentions, r["arg2"])
+        head, tail = r["head"], r["tail"]
         name = F.try_element_at(table_of(c.predicates), F.lower(F.btrim(r["type"])) if c.native else r["type"])
         if c.native:
             name = F.when(~F.lower(F.btrim(r["type"])).isin(*K.CHIA_INTEGRATORS), F.coalesce(name, S.predicate_name(r["type"])))
@@ -88,10 +83,6 @@ def linked(rows: Column, mentions: Column, c: Corpus) -> Column:
     return F.array_distinct(F.filter(F.transform(rows, one), lambda x: x.isNotNull()))
 
 
-def _first(mentions: Column, ident: Column) -> Column:
-    return F.get(F.filter(mentions, lambda m: m["id"] == ident), F.lit(0))["mention"]
-
-
 # --- builders ---
 
 
@@ -118,9 +109,9 @@ def literal_tagged(df: DataFrame, c: Corpus) -> DataFrame:
 
 def char_spans(df: DataFrame, c: Corpus) -> DataFrame:
     """text and entities (array<struct<start, end, label>>, end exclusive), bridged to tokens; the text becomes its tokens."""
-    x = df.withColumn("_t", triples(df.sparkSession, F.col("text")))
-    x = x.withColumn("spans", S.bridged(F.col("_t"), F.col("entities"), F.col("text"))).withColumn("tokens", F.transform("_t", lambda t: t["token"])).withColumn("text", S.join_tokens(F.col("tokens")))
-    return finished(x.drop("_t"), tokens=F.col("tokens"), spans=F.col("spans"))
+    x = once(df.withColumn("_p", placed(df.sparkSession, F.col("text"), F.col("entities"))))
+    x = x.withColumn("text", S.join_tokens(F.col("_p.tokens")))
+    return finished(x, tokens=F.col("_p.tokens"), spans=F.col("_p.spans")).drop("_p")
 
 
 def brat(df: DataFrame, c: Corpus) -> DataFrame:
@@ -130,22 +121,13 @@ def brat(df: DataFrame, c: Corpus) -> DataFrame:
 
 def char_spans_linked(df: DataFrame, c: Corpus) -> DataFrame:
     """text, entities (array<struct<id, type, start, end>>) and rels (array<struct<type, arg1, arg2>>): entities to be resolved, gold relations by id."""
-    # the id rides in the label, so that a span that is dropped can't shift the others' ids
-    marked = F.transform("entities", lambda m: F.struct(m["start"].alias("start"), m["end"].alias("end"), m["id"].alias("label")))
-    x = once(df).withColumn("_t", triples(df.sparkSession, F.col("text")))
-    x = x.withColumn("_b", S.bridged(F.col("_t"), marked, F.col("text")))
-    kind = lambda e, i: F.get(F.filter(e, lambda m: m["id"] == i), F.lit(0))["type"]
-
-    def made(entities: Column, rels: Column, tokens: Column, placed: Column) -> Column:
-        named = F.transform(placed, lambda s: F.struct(S.surface(tokens, s["start"], s["end"]).alias("mention"), s["label"].alias("id")))
-        spans = F.transform(placed, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), kind(entities, s["label"]).alias("label")))
-        return let(named, lambda m: F.struct(tokens.alias("tokens"), spans.alias("spans"), linked(rels, m, c).alias("relations")))
-
-    # each part is evaluated once: what stands in a lambda would be evaluated for every element
-    whole = let(F.col("entities"), lambda e: let(F.col("rels"), lambda r: let(F.transform("_t", lambda t: t["token"]), lambda k: made(e, r, k, F.col("_b")))))
-    x = x.withColumn("_x", whole).drop("_t", "_b", "entities", "rels")
-    x = x.withColumn("text", S.join_tokens(F.col("_x.tokens")))
-    return finished(x, tokens=F.col("_x.tokens"), spans=F.col("_x.spans"), relations=F.col("_x.relations")).drop("_x")
+    marked = F.transform("entities", lambda m: F.struct(*(m[n].cast(kind).alias(n) for n, kind in (("id", "string"), ("type", "string"), ("start", "int"), ("end", "int")))))
+    asked = F.transform("rels", lambda r: F.struct(*(r[n].cast("string").alias(n) for n in ("type", "arg1", "arg2"))))
+    kind = f"struct<tokens:array<string>,spans:{SPANS},rels:array<struct<type:string,arg1:string,arg2:string,head:string,tail:string>>>"
+    made = by_pieces(df.sparkSession, S.linked_in_tokens, kind)(F.col("text"), marked, asked)
+    x = once(once(df).withColumn("_p", made).drop("entities", "rels"))
+    x = x.withColumn("text", S.join_tokens(F.col("_p.tokens")))
+    return finished(x, tokens=F.col("_p.tokens"), spans=F.col("_p.spans"), relations=linked(F.col("_p.rels"), c)).drop("_p")
 
 
 def listed_apart(df: DataFrame, c: Corpus) -> DataFrame:
@@ -251,7 +233,8 @@ def passages_gold(df: DataFrame, c: Corpus) -> DataFrame:
     label = lambda s: S.mapped_label(s["label"], table_of(c.labels))
     known = F.filter("spans", lambda s: label(s).isNotNull())
     none = F.lit(None).cast("string")
-    gold = F.transform(known, lambda s: mention(S.surface(F.col("tokens"), s["start"], s["end"]), label(s), none, none))
+    # a slice of stored tokens would copy all of them, for every span
+    gold = let(F.transform("tokens", lambda t: t), lambda k: F.transform(known, lambda s: mention(S.surface(k, s["start"], s["end"]), label(s), none, none)))
     return x.withColumn("gold", gold.cast(GOLD)).withColumn("spans", F.array().cast(SPANS))
 
 
@@ -299,17 +282,15 @@ def classified(df: DataFrame, c: Corpus) -> DataFrame:
 
 def conversation(df: DataFrame, c: Corpus) -> DataFrame:
     """conversations as a literal or JSON text: the document, and every place of every listed mention under the label that was asked for."""
-    ship_code(df.sparkSession)
 
-    def read(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        for s in batches:
-            rows = [C.conversation(v) for v in s]
-            yield pd.DataFrame({"text": [t or "" for t, _ in rows], "asked": [[{"label": a, "mentions": list(dict.fromkeys(m))} for a, m in q] for _, q in rows]})
+    def read(turns: str | None) -> dict:
+        text, asked = C.conversation(turns)
+        return {"tokens": token_places(text or "")[0], "asked": [{"label": a, "mentions": list(dict.fromkeys(m))} for a, m in asked]}
 
-    x = df.withColumn("_c", F.pandas_udf(read, "struct<text:string,asked:array<struct<label:string,mentions:array<string>>>>")("conversations"))
-    x = x.withColumn("_t", triples(df.sparkSession, F.col("_c.text"))).withColumn("tokens", F.transform("_t", lambda t: t["token"])).withColumn("text", S.join_tokens(F.col("tokens")))
-    spans = F.flatten(F.transform("_c.asked", lambda q: F.flatten(F.transform(q["mentions"], lambda m: S.occurrences(F.col("tokens"), m, q["label"])))))
-    return finished(x.drop("_t"), tokens=F.col("tokens"), spans=spans).drop("_c")
+    made = by_pieces(df.sparkSession, read, "struct<tokens:array<string>,asked:array<struct<label:string,mentions:array<string>>>>")
+    x = once(df.withColumn("_c", made("conversations")))
+    spans = F.flatten(F.transform("_c.asked", lambda q: F.flatten(F.transform(q["mentions"], lambda m: S.occurrences(F.col("_c.tokens"), m, q["label"])))))
+    return finished(x.withColumn("text", S.join_tokens(F.col("_c.tokens"))), tokens=F.col("_c.tokens"), spans=spans).drop("_c")
 
 
 def literal_slices(df: DataFrame, c: Corpus) -> DataFrame:
