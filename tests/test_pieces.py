@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from __spark_entry__ import SMOKE_DIR, queries
 
-NAMES = ["decode_chia"]
+NAMES = ["decode_chia", "decode_drugprot"]
 
 
 @pytest.mark.parametrize("name", NAMES)
@@ -40,3 +40,11 @@ def test_tokens_spans_and_links_of_a_row():
     assert got["spans"] == [{"start": 0, "end": 0, "label": "A"}, {"start": 2, "end": 2, "label": "B"}, {"start": 3, "end": 3, "label": "B"}, {"start": 0, "end": 0, "label": None}]
     assert got["rels"] == [{**rels[0], "head": "Ab-c", "tail": "dé"}, {**rels[1], "head": None, "tail": None}, None]
     assert linked_in_tokens(None, None, None) == {"tokens": [], "spans": None, "rels": None}
+
+
+def test_plain_values_are_those_of_to_pylist():
+    from corpusmill.plans.runtime import plain
+
+    rows = [[{"a": 1, "b": "x", "c": ["p", None]}, None, {"a": None, "b": None, "c": None}], None, [], [{"a": 2, "b": "é", "c": []}]]
+    a = pa.array(rows, pa.list_(pa.struct([("a", pa.int32()), ("b", pa.string()), ("c", pa.list_(pa.string()))])))
+    assert plain(a) == rows and plain(a.slice(1, 3)) == rows[1:] and plain(a.slice(2)) == rows[2:]
