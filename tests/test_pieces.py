@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from __spark_entry__ import SMOKE_DIR, queries
 
-NAMES = ["decode_chia", "decode_drugprot"]
+NAMES = ["decode_chia", "decode_drugprot", "decode_knowledgator_biomed"]
 
 
 @pytest.mark.parametrize("name", NAMES)
