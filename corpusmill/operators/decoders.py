@@ -103,8 +103,8 @@ def tagged_tokens(df: DataFrame, c: Corpus) -> DataFrame:
 
 def literal_tagged(df: DataFrame, c: Corpus) -> DataFrame:
     """As tagged_tokens, with both lists written as Python literals."""
-    read = C.string_list_udf(df.sparkSession)
-    return tagged_tokens(df.withColumn("tokens", read("tokens")).withColumn("tags", read("tags")), c)
+    x = once(df.withColumn("_l", by_pieces(df.sparkSession, C.two_lists, "struct<tokens:array<string>,tags:array<string>>")("tokens", "tags")).drop("tokens", "tags"))
+    return tagged_tokens(x.select("*", "_l.tokens", "_l.tags").drop("_l"), c)
 
 
 def char_spans(df: DataFrame, c: Corpus) -> DataFrame:
