@@ -190,14 +190,8 @@ def clusters(df: DataFrame, c: Corpus) -> DataFrame:
 
 def leaflets(df: DataFrame, c: Corpus) -> DataFrame:
     """Section_1 to Section_6 as literals with Section_Content and Entity_Recognition: one document whose sections stay apart."""
-    ship_code(df.sparkSession)
-
-    def read(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.DataFrame]:
-        for columns in batches:
-            yield pd.DataFrame([C.leaflet(row) for row in zip(*columns)], columns=["tokens", "spans"])
-
-    made = F.pandas_udf(read, f"struct<tokens:array<string>,spans:{SPANS}>")(*(f"Section_{i}" for i in range(1, 7)))
-    x = df.withColumn("_l", made)
+    made = by_pieces(df.sparkSession, lambda *sections: C.leaflet(sections), f"struct<tokens:array<string>,spans:{SPANS}>")
+    x = once(df.withColumn("_l", made(*(f"Section_{i}" for i in range(1, 7)))))
     return finished(x.withColumn("text", S.join_tokens(F.col("_l.tokens"))), tokens=F.col("_l.tokens"), spans=F.col("_l.spans")).drop("_l")
 
 
