@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from __spark_entry__ import SMOKE_DIR, queries
 
-NAMES = ["decode_chia", "decode_drugprot", "decode_knowledgator_biomed", "decode_osiris", "decode_pile_ner_type", "decode_synthetic_ner_ade_tweets", "decode_pile_ner_biomed", "gazetteer_relations", "decode_bioleaflets", "decode_chemprot", "decode_biored"]
+NAMES = ["decode_chia", "decode_drugprot", "decode_knowledgator_biomed", "decode_osiris", "decode_pile_ner_type", "decode_synthetic_ner_ade_tweets", "decode_pile_ner_biomed", "gazetteer_relations", "decode_bioleaflets", "decode_chemprot", "decode_biored", "decode_linnaeus"]
 
 
 @pytest.mark.parametrize("name", NAMES)
