@@ -116,7 +116,7 @@ def char_spans(df: DataFrame, c: Corpus) -> DataFrame:
 
 def brat(df: DataFrame, c: Corpus) -> DataFrame:
     """text and ann, a stand-off annotation."""
-    return char_spans(df.withColumn("entities", S.brat_spans(F.col("ann"), F.col("text"))), c)
+    return char_spans(once(df.withColumn("entities", S.brat_spans(F.col("ann"), F.col("text")))), c)
 
 
 def char_spans_linked(df: DataFrame, c: Corpus) -> DataFrame:
