@@ -150,13 +150,23 @@ def passages_linked(df: DataFrame, c: Corpus) -> DataFrame:
     flat = F.transform(one, lambda e: F.struct(e["id"].alias("id"), e["type"].alias("type"), F.get(F.get(e["offsets"], F.lit(0)), F.lit(0)).alias("start"), F.get(F.get(e["offsets"], F.lit(0)), F.lit(1)).alias("end"), ids(e).alias("concepts")))
     x = df.withColumn("text", F.when(sound, F.array_join(whole, " ")).otherwise("")).withColumn("entities", F.coalesce(flat, F.array().cast("array<struct<id:string,type:string,start:int,end:int,concepts:array<string>>>")))
 
-    def once(entities: Column) -> Column:
-        of = lambda i: F.get(F.filter(entities, lambda e: e["id"] == i), F.lit(0))["concepts"]
-        known = F.filter("rels", lambda r: (r["arg1"] != r["arg2"]) & of(r["arg1"]).isNotNull() & of(r["arg2"]).isNotNull())
-        signed = F.transform(known, lambda r: F.struct(r["type"].alias("type"), r["arg1"].alias("arg1"), r["arg2"].alias("arg2"), of(r["arg1"]).alias("a"), of(r["arg2"]).alias("b")))
-        return let(signed, lambda rows: F.filter(rows, lambda r, i: ~F.exists(F.slice(rows, 1, i), lambda q: (q["type"] == r["type"]) & (q["a"] == r["a"]) & (q["b"] == r["b"]))))
+    def first_of(entities: Column) -> Column:
+        """Relations with the concepts of their ends, which are found by a scan of the ids alone."""
 
-    return char_spans_linked(x.withColumn("rels", let(F.col("entities"), once)), c)
+        def signed(ids: Column) -> Column:
+            of = lambda i: F.get(entities, F.array_position(ids, i) - 1)["concepts"]
+            apart = F.filter("rels", lambda r: r["arg1"] != r["arg2"])
+            ends = F.transform(apart, lambda r: F.struct(r["type"].alias("type"), r["arg1"].alias("arg1"), r["arg2"].alias("arg2"), of(r["arg1"]).alias("a"), of(r["arg2"]).alias("b")))
+            return F.filter(ends, lambda r: r["a"].isNotNull() & r["b"].isNotNull())
+
+        def first(keys: Column) -> Callable[[Column, Column], Column]:
+            # a missing type equals none
+            return lambda r, i: r["type"].isNull() | (F.array_position(keys, F.get(keys, i)) == i + 1)
+
+        key = lambda r: F.struct(r["type"].alias("type"), r["a"].alias("a"), r["b"].alias("b"))
+        return let(let(F.transform(entities, lambda e: e["id"]), signed), lambda rows: let(F.transform(rows, key), lambda keys: F.filter(rows, first(keys))))
+
+    return char_spans_linked(x.withColumn("rels", let(F.col("entities"), first_of)), c)
 
 
 def parted_linked(df: DataFrame, c: Corpus) -> DataFrame:
